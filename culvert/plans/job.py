@@ -85,7 +85,7 @@ def baseline_rates_12mo(b: Base, cfg: ScreeningConfig) -> DataFrame:
 def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConfig()) -> Screening:
     """Runs the screening on staged tables (see ``sources.staging.STAGED``).
 
-    Frames are lazy, except that three stages are stored in the shared
+    Frames are lazy, except that some stages are stored in the shared
     checkpoint folder and the outlier test runs a few jobs.
     """
     keep = Keeper()
@@ -95,9 +95,14 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
 
     # Stored, not cached: a cached frame keeps its whole logical plan, and frames
     # as often read as these would make the final plan explode.
-    rates5, rates12 = keep(baseline_rates_5yr(b, cfg)), keep(baseline_rates_12mo(b, cfg))
-    bands5 = written(spills.banded_with_outliers(rates5, [ID, "year"], cfg), "bands5")
-    bands12 = written(spills.banded_with_outliers(rates12, [ID], cfg), "bands12")
+    rates = spills.both_windows(
+        spills.rates_5yr(spills.yearly_counts(b.weighted), cfg),
+        spills.rates_12mo(spills.month_counts(b.weighted), cfg),
+    )
+    rates = keep(spills.in_baseline(rates, b.silent))
+    bands = written(spills.banded_with_outliers(rates, cfg), "bands")
+    bands5 = spills.of_window(bands, spills.FIVE_YEARS)
+    bands12 = spills.of_window(bands, spills.TWELVE_MONTHS)
     low = keep(spills.not_exempt(spills.low_both(bands5, bands12), cfg))
 
     start, end = cfg.window("reporting")

@@ -15,6 +15,7 @@ from culvert.operators.quantiles import quartiles
 from culvert.plans.facts import ID, NEW
 
 PANEL_KEYS = [ID, "length_class", "length"]
+FIVE_YEARS, TWELVE_MONTHS = "5yr", "12mo"
 
 
 def weighted_rollup(rollup: DataFrame, facts: DataFrame) -> DataFrame:
@@ -92,15 +93,38 @@ def band(df: DataFrame, q: DataFrame, cls: str = "length_class", x: str = "rate"
     return joined.withColumn("band", band_of(F.col(x), F.col("q1"), F.col("q3"))).drop("q1", "q3")
 
 
-def banded(rates: DataFrame) -> DataFrame:
+def banded(rates: DataFrame, cls: str = "length_class") -> DataFrame:
     """Bands for all assets, cut by the quartiles of the baseline assets."""
-    return band(rates, quartiles(rates.where("in_baseline"), "length_class", "rate"))
+    return band(rates, quartiles(rates.where("in_baseline"), cls, "rate"), cls)
 
 
-def banded_with_outliers(rates: DataFrame, tie: list[str], cfg: ScreeningConfig) -> DataFrame:
-    """Bands plus the informational outlier mark, NULL outside the baseline."""
-    marks = gesd(rates.where("in_baseline"), "length_class", "rate", tie, cfg.outlier_alpha)
-    return banded(rates).join(marks, ["length_class", *tie], "left")
+def both_windows(rates5: DataFrame, rates12: DataFrame) -> DataFrame:
+    """Rates of both windows as one table, so that quartiles and outlier test
+    of all (window, class) groups take one pass each."""
+    common = [*PANEL_KEYS, "rolling_avg", "rate"]
+    five = rates5.select(*common, F.lit(FIVE_YEARS).alias("window"), F.col("year").alias("period"))
+    month = F.year("month") * 100 + F.month("month")
+    twelve = rates12.select(
+        *common, F.lit(TWELVE_MONTHS).alias("window"), month.alias("period"), "month"
+    )
+    both = five.unionByName(twelve, allowMissingColumns=True)
+    return both.withColumn("rate_group", F.concat_ws("|", "window", "length_class"))
+
+
+def banded_with_outliers(rates: DataFrame, cfg: ScreeningConfig) -> DataFrame:
+    """Bands of :func:`both_windows` plus the informational outlier mark, which
+    is NULL outside the baseline."""
+    tie = [ID, "period"]
+    marks = gesd(rates.where("in_baseline"), "rate_group", "rate", tie, cfg.outlier_alpha)
+    return banded(rates, "rate_group").join(marks, ["rate_group", *tie], "left")
+
+
+def of_window(bands: DataFrame, window: str) -> DataFrame:
+    """Bands of one window, with ``year`` or ``month`` as the period."""
+    rows = bands.where(F.col("window") == window).drop("window", "rate_group")
+    if window == FIVE_YEARS:
+        return rows.drop("month").withColumnRenamed("period", "year")
+    return rows.drop("period")
 
 
 def low_rows(bands: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS wdid, CAST(o_orderdate AS DATE) AS spill_da
 FROM orders WHERE o_orderdate < DATE '1998-07-01'""",
     "ar": """
 SELECT CAST(o_custkey AS VARCHAR) AS wdid, CAST(year(o_orderdate) AS INTEGER) AS report_year,
-  CASE WHEN o_totalprice >= 50000 THEN o_totalprice END AS population,
+  CASE WHEN o_totalprice < 450000 THEN o_totalprice END AS population,
   o_totalprice / 5000 + CASE WHEN o_totalprice < 400000 THEN o_totalprice / 600 END AS length,
   o_orderkey AS row_no
 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P'""",

@@ -85,7 +85,7 @@ def annual_reports(spark: SparkSession, sf: str) -> DataFrame:
         .select(
             F.col("o_custkey").cast("string").alias("wdid"),
             F.year("o_orderdate").alias("report_year"),
-            F.when(price >= 50000, price).alias("population"),
+            F.when(price < 450000, price).alias("population"),
             (price / 5000 + gravity).alias("length"),
             F.col("o_orderkey").alias("row_no"),
         )
