@@ -44,7 +44,7 @@ def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
     first = spark.read.text(path).limit(1).collect()
     if not first:
         raise ValueError(f"no header line in {path}")
-    return next(csv.reader([first[0].value.lstrip("﻿")], delimiter=sep))
+    return next(csv.reader([first[0].value.lstrip("\ufeff")], delimiter=sep))
 
 
 def _with_row_no(df: DataFrame, multiline: bool) -> DataFrame:
@@ -67,16 +67,17 @@ def _with_row_no(df: DataFrame, multiline: bool) -> DataFrame:
         row = ordinal.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     if len(files) > limit:
         raise ValueError(f"{len(files)} files exceed the {limit} that row_no can order")
+    unknown = F.raise_error(F.concat(F.lit("file not in the listing: "), "_file")).cast("long")
     # One row per input file, a list the driver holds anyway: broadcast.
     return (
         df.select(
             "*",
-            F.col("_metadata.file_path").alias("_file"),
+            F.input_file_name().alias("_file"),
             F.col("_metadata.file_block_start").alias("_start"),
             row.alias("_ordinal"),
         )
         .join(F.broadcast(ranks), "_file", "left")
-        .withColumn("row_no", place + F.col("_ordinal"))
+        .withColumn("row_no", F.coalesce(place + F.col("_ordinal"), unknown))
         .drop("_file", "_start", "_ordinal", "_rank")
     )
 
