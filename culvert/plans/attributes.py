@@ -52,14 +52,15 @@ def system_facts(tables: Mapping[str, DataFrame], rollup: DataFrame, cfg: Screen
     pop_new = F.when(has_new, F.col("report_population"))
     pop_old = F.when(has_old, F.col("answer_population"))
     newer_wins = pop_new.isNotNull() & (pop_old.isNull() | (F.col("last_new") >= F.col("last_old")))
-    other = F.when(F.col("in_old_feed"), F.col("first_answer"))
 
     a = F.when(spilled, F.when(has_new, F.col("report_length"))).otherwise(
-        F.col("newest_report.length")
+        F.col("newest_length")
+    )
+    b = F.when(spilled, F.when(has_old, F.col("answer_length"))).otherwise(
+        F.when(F.col("in_old_feed"), F.col("first_length"))
     )
-    b = F.when(spilled, F.when(has_old, F.col("answer_length"))).otherwise(other["length"])
     population = F.when(spilled, F.when(newer_wins, pop_new).otherwise(pop_old)).otherwise(
-        F.coalesce(F.col("newest_report.population"), other["population"])
+        F.coalesce("newest_population", F.when(F.col("in_old_feed"), F.col("first_population")))
     )
     length = F.when(
         F.col("_spilled"), reconcile(F.col("length_a"), F.col("length_b"), cfg.discrepancy_limit)

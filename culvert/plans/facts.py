@@ -7,6 +7,8 @@ hash layout; a NULL-safe condition would force another shuffle each time.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from culvert.config import ScreeningConfig
 from culvert.functions import not_matching
 from culvert.operators.joins import keep_in
 
-NO_ID = "\u0000"
+NO_ID = "\u0001"
 ID = "wdid"
 NEW, OLD = 0, 1
 
@@ -94,42 +96,49 @@ def spill_facts(rollup: DataFrame) -> DataFrame:
     )
 
 
+def _known(c: str) -> Column:
+    """Row number of rows that have ``c``."""
+    return F.when(F.col(c).isNotNull(), F.col("row_no"))
+
+
 def report_facts(reports: DataFrame) -> DataFrame:
     """Per asset: number of reports, first known length and population in file
-    order, and both values of the newest report that has either."""
-    length, population = F.col("length"), F.col("population")
-    either = length.isNotNull() | population.isNotNull()
-    recency = F.when(either, F.struct(F.col("report_year"), -F.col("row_no")))
+    order, and both values of the newest report that has either.
+
+    Recency (newest year, then first in file) is one decimal: buffers of fixed
+    width keep this a hash aggregation, where a struct would mean sorting the
+    reports in every map task.
+    """
+    either = F.col("length").isNotNull() | F.col("population").isNotNull()
+    year = F.coalesce("report_year", F.lit(-9999)).cast("decimal(5,0)")
+    place = year * F.lit(Decimal(10**19)) - F.col("row_no").cast("decimal(20,0)")
+    recency = F.when(either, place.cast("decimal(38,0)"))
     return (
         keyed(reports)
         .groupBy(ID)
         .agg(
             F.count("*").alias("report_rows"),
-            F.min_by("length", F.when(length.isNotNull(), F.col("row_no"))).alias("report_length"),
-            F.min_by("population", F.when(population.isNotNull(), F.col("row_no"))).alias(
-                "report_population"
-            ),
-            F.max_by(F.struct("population", "length"), recency).alias("newest_report"),
+            F.min_by("length", _known("length")).alias("report_length"),
+            F.min_by("population", _known("population")).alias("report_population"),
+            F.max_by("length", recency).alias("newest_length"),
+            F.max_by("population", recency).alias("newest_population"),
         )
     )
 
 
 def questionnaire_facts(questionnaire: DataFrame) -> DataFrame:
     """Per asset: number of rows, first known length and population in file
-    order, and the first row that has either."""
-    length, population = F.col("length"), F.col("population")
-    either = length.isNotNull() | population.isNotNull()
+    order, and both values of the first row that has either."""
+    either = F.col("length").isNotNull() | F.col("population").isNotNull()
+    first = F.when(either, F.col("row_no"))
     return (
         keyed(questionnaire)
         .groupBy(ID)
         .agg(
             F.count("*").alias("answer_rows"),
-            F.min_by("length", F.when(length.isNotNull(), F.col("row_no"))).alias("answer_length"),
-            F.min_by("population", F.when(population.isNotNull(), F.col("row_no"))).alias(
-                "answer_population"
-            ),
-            F.min_by(F.struct("population", "length"), F.when(either, F.col("row_no"))).alias(
-                "first_answer"
-            ),
+            F.min_by("length", _known("length")).alias("answer_length"),
+            F.min_by("population", _known("population")).alias("answer_population"),
+            F.min_by("length", first).alias("first_length"),
+            F.min_by("population", first).alias("first_population"),
         )
     )

@@ -59,6 +59,13 @@ def eligible_rows(facilities: DataFrame) -> DataFrame:
     return keyed(facilities).where(F.col("cs_assessment") == "Yes").select(*FACILITY_KEYS).distinct()
 
 
+def filed_by(reports: DataFrame, end: dt.date) -> DataFrame:
+    """Reports last updated by ``end`` or at an unknown date. The criteria do
+    not use it: any report counts, whatever its date."""
+    updated = F.col("updated")
+    return reports.where(updated.isNull() | (updated <= F.lit(end)))
+
+
 def missing_report(facilities: DataFrame, reports: DataFrame) -> DataFrame:
     """Eligible facility rows whose id never filed a report, whatever the date."""
     return keep_not_in(eligible_rows(facilities), keyed(reports), ID)

@@ -16,6 +16,7 @@ from culvert.functions import null_tokens
 _NO_TOKEN = "\u0001"
 _PART_BITS = 33
 _SPLIT_BITS, _ROW_BITS = 16, 27
+_FEW_FILES = 50_000
 
 
 def normalise_headers(names: Sequence[str], upper: bool = False, mangle: bool = True) -> list[str]:
@@ -68,7 +69,10 @@ def _with_row_no(df: DataFrame, multiline: bool) -> DataFrame:
     if len(files) > limit:
         raise ValueError(f"{len(files)} files exceed the {limit} that row_no can order")
     unknown = F.raise_error(F.concat(F.lit("file not in the listing: "), "_file")).cast("long")
-    # One row per input file, a list the driver holds anyway: broadcast.
+    # One row per input file, a list the driver holds anyway; a very long one
+    # is left for Spark to place.
+    if len(files) <= _FEW_FILES:
+        ranks = F.broadcast(ranks)
     return (
         df.select(
             "*",
@@ -76,7 +80,7 @@ def _with_row_no(df: DataFrame, multiline: bool) -> DataFrame:
             F.col("_metadata.file_block_start").alias("_start"),
             row.alias("_ordinal"),
         )
-        .join(F.broadcast(ranks), "_file", "left")
+        .join(ranks, "_file", "left")
         .withColumn("row_no", F.coalesce(place + F.col("_ordinal"), unknown))
         .drop("_file", "_start", "_ordinal", "_rank")
     )

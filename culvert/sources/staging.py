@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culvert.functions import clean_numeric, lenient_date, month_label, plain_numeric
+from culvert.functions import clean_numeric, free_date, lenient_date, month_label, plain_numeric
 from culvert.sources.delimited import read_delimited
 
 Raw = Callable[[str], Column]
@@ -90,6 +90,7 @@ STAGED: dict[str, Feed] = {
             "report_year": lambda raw: plain_numeric(raw("ANNUAL_REPORT_YEAR")).cast("int"),
             "population": _clean("POP_SERVED"),
             "length": _clean_sum("MILES_FORCED_MAINS", "MILES_GRAVITY_SEWERS"),
+            "updated": lambda raw: free_date(raw("LAST_UPDATED_ON")),
         },
     ),
     "questionnaire": Feed(

@@ -148,3 +148,21 @@ def test_feeds_to_report(spark, tmp_path, sep, suffix):
     twice = next(r for r in run.rates_5yr.collect() if r.wdid == "1")
     assert twice.rolling_avg == 4.0 and rows["5"].enforcement_count is None
     run.release()
+
+
+def test_fresh_run_then_replay(spark, tmp_path):
+    from culvert import run as runner
+
+    feeds(tmp_path, "\t", ".txt")
+    places = (str(tmp_path), str(tmp_path), str(tmp_path / "snapshots"))
+    day = dt.date(2026, 4, 13)
+    fresh = screen(runner.load(spark, *places, today=day))
+    paths = runner.publish(fresh, str(tmp_path / "out"), day)
+    report = spark.read.option("header", True).csv(paths["report"])
+    assert report.columns == list(RESULT_HEADERS.values()) and report.count() == 2
+    audit = {r.stage: int(r.row_count) for r in spark.read.option("header", True).csv(paths["audit"]).collect()}
+    assert audit["report"] == 2 and audit["rates_5yr"] == 6
+    replay = screen(runner.load(spark, "nowhere", places[1], places[2], snapshot=day))
+    assert sorted(map(repr, replay.report.collect())) == sorted(map(repr, fresh.report.collect()))
+    with pytest.raises(FileNotFoundError):
+        runner.load(spark, "nowhere", places[1], places[2], snapshot=dt.date(2020, 1, 1))

@@ -32,7 +32,7 @@ FROM orders WHERE o_orderdate < DATE '1998-07-01'""",
 SELECT CAST(o_custkey AS VARCHAR) AS wdid, CAST(year(o_orderdate) AS INTEGER) AS report_year,
   CASE WHEN o_totalprice < 450000 THEN o_totalprice END AS population,
   o_totalprice / 5000 + CASE WHEN o_totalprice < 400000 THEN o_totalprice / 600 END AS length,
-  o_orderkey AS row_no
+  CASE WHEN o_totalprice >= 2000 THEN CAST(o_orderdate AS DATE) END AS updated, o_orderkey AS row_no
 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P'""",
     "qn": """
 SELECT CAST(c_custkey AS VARCHAR) AS wdid,
@@ -590,6 +590,11 @@ FROM (SELECT *, avg(rate) OVER (PARTITION BY length_class) AS mean
     "nonreporting_entities": ("SELECT * FROM silent", ""),
     "reporting_gap_certificates": ("SELECT * FROM certs", ""),
     "reporting_gap_both": ("SELECT * FROM gaps", ""),
+    "reports_filed_by": (
+        """
+SELECT wdid, row_no, updated FROM ar WHERE updated IS NULL OR updated <= DATE '2001-01-01'""",
+        "",
+    ),
     "active_orders": ("SELECT * FROM active", "amount"),
     "enforcement_summary": ("SELECT * FROM order_totals", "total_assessment_amount"),
     "spill_summary": ("SELECT * FROM spill_totals", ""),

@@ -372,21 +372,17 @@ def union_feeds(spark, sf):
 @query
 def annual_counts(spark, sf):
     t = roles.tables(spark, sf)
-    keys = ["wdid", "spill_year"]
-    feeds = [
-        joins.fanout_count(
-            facts.clean_feed(t[feed], t["facilities"], CONFIG, types),
-            t[right],
-            "wdid",
-            keys,
-            "spill_count",
-        )
-        for feed, types, right in (
-            ("new_spills", CONFIG.new_types, "annual_reports"),
-            ("old_spills", CONFIG.old_types, "questionnaire"),
-        )
-    ]
-    return picks.union_feeds(feeds, "feed").withColumnRenamed("spill_year", "year")
+    keys = ["wdid", "year"]
+    feeds = []
+    for feed, types, right in (
+        ("new_spills", CONFIG.new_types, "annual_reports"),
+        ("old_spills", CONFIG.old_types, "questionnaire"),
+    ):
+        scoped = t[feed].where(facts.in_scope(CONFIG, types)).withColumn("year", F.year("spill_date"))
+        counts = joins.fanout_count(scoped, t[right], "wdid", keys, "spill_count")
+        # Known assets are looked up per count, not per spill.
+        feeds.append(joins.keep_in(counts, t["facilities"], "wdid"))
+    return picks.union_feeds(feeds, "feed")
 
 
 @query
@@ -552,6 +548,12 @@ def reporting_gap_both(spark, sf):
     return reporting.both_gaps(anti_join_missing_report(spark, sf), _certificates(spark, sf))
 
 
+@query
+def reports_filed_by(spark, sf):
+    _, end = CONFIG.window("analysis")
+    return reporting.filed_by(roles.annual_reports(spark, sf), end).select("wdid", "row_no", "updated")
+
+
 @query
 def active_orders(spark, sf):
     t = roles.tables(spark, sf)

@@ -87,6 +87,7 @@ def annual_reports(spark: SparkSession, sf: str) -> DataFrame:
             F.year("o_orderdate").alias("report_year"),
             F.when(price < 450000, price).alias("population"),
             (price / 5000 + gravity).alias("length"),
+            F.when(price >= 2000, F.to_date("o_orderdate")).alias("updated"),
             F.col("o_orderkey").alias("row_no"),
         )
     )
