@@ -82,6 +82,23 @@ def baseline_rates_12mo(b: Base, cfg: ScreeningConfig) -> DataFrame:
     return spills.in_baseline(spills.rates_12mo(spills.month_counts(b.weighted), cfg), b.silent)
 
 
+def bands(
+    b: Base,
+    cfg: ScreeningConfig,
+    keep: Callable[[DataFrame], DataFrame],
+    outliers: bool = True,
+) -> DataFrame:
+    """Banded rates of both windows (see ``spills.of_window``), stored."""
+    rates = spills.both_windows(
+        spills.rates_5yr(spills.yearly_counts(b.weighted), cfg),
+        spills.rates_12mo(spills.month_counts(b.weighted), cfg),
+    )
+    rates = keep(spills.in_baseline(rates, b.silent))
+    if outliers:
+        return written(spills.banded_with_outliers(rates, cfg), "bands")
+    return written(spills.banded(rates, "rate_group"), "bands")
+
+
 def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConfig()) -> Screening:
     """Runs the screening on staged tables (see ``sources.staging.STAGED``).
 
@@ -93,16 +110,11 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
     b = base(tables, cfg, keep)
     attributes = attributes_of(b.facts)
 
-    # Stored, not cached: a cached frame keeps its whole logical plan, and frames
-    # as often read as these would make the final plan explode.
-    rates = spills.both_windows(
-        spills.rates_5yr(spills.yearly_counts(b.weighted), cfg),
-        spills.rates_12mo(spills.month_counts(b.weighted), cfg),
-    )
-    rates = keep(spills.in_baseline(rates, b.silent))
-    bands = written(spills.banded_with_outliers(rates, cfg), "bands")
-    bands5 = spills.of_window(bands, spills.FIVE_YEARS)
-    bands12 = spills.of_window(bands, spills.TWELVE_MONTHS)
+    # Stored, not cached: a cached frame keeps its whole logical plan, and a frame
+    # as often read as this one would make the final plan explode.
+    rows = bands(b, cfg, keep)
+    bands5 = spills.of_window(rows, spills.FIVE_YEARS)
+    bands12 = spills.of_window(rows, spills.TWELVE_MONTHS)
     low = keep(spills.not_exempt(spills.low_both(bands5, bands12), cfg))
 
     start, end = cfg.window("reporting")

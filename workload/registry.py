@@ -480,11 +480,9 @@ def band_12mo(spark, sf):
 
 
 def _low_both(spark, sf):
-    keep = job.Keeper()
-    b = _base(spark, sf)
+    rows = job.bands(_base(spark, sf), CONFIG, job.Keeper(), outliers=False)
     return spills.low_both(
-        spills.banded(keep(job.baseline_rates_5yr(b, CONFIG))),
-        spills.banded(keep(job.baseline_rates_12mo(b, CONFIG))),
+        spills.of_window(rows, spills.FIVE_YEARS), spills.of_window(rows, spills.TWELVE_MONTHS)
     )
 
 
@@ -585,17 +583,7 @@ QUERIES["system_attributes"] = QUERIES.pop("system_attributes_query")
 @query
 def inadequacy_list(spark, sf):
     t = roles.tables(spark, sf)
-    keep = job.Keeper()
-    b = _base(spark, sf)
-    low = spills.not_exempt(
-        keep(
-            spills.low_both(
-                spills.banded(keep(job.baseline_rates_5yr(b, CONFIG))),
-                spills.banded(keep(job.baseline_rates_12mo(b, CONFIG))),
-            )
-        ),
-        CONFIG,
-    )
+    low = spills.not_exempt(_low_both(spark, sf), CONFIG)
     gaps = reporting_gap_both(spark, sf)
     return report.combine(low, gaps, t["facilities"], facts.systems(t["facilities"]))
 
