@@ -31,7 +31,7 @@ def plain_numeric(c: Column) -> Column:
 
 def clean_numeric(c: Column) -> Column:
     """Like :func:`plain_numeric` once thousands commas are gone."""
-    return plain_numeric(F.regexp_replace(c, ",", ""))
+    return plain_numeric(F.replace(c, F.lit(",")))
 
 
 def null_tokens(c: Column, tokens=("", "NA", "#N/A")) -> Column:
@@ -50,7 +50,7 @@ def lenient_date(c: Column, fmt: str = "%m/%d/%Y") -> Column:
     Every part of ``fmt`` must be there (a format with a time rejects a bare
     date), parts may have one digit, and impossible dates are NULL.
     """
-    pieces, names = [r"^\s*"], []
+    pieces, names = [], []
     for token in re.findall(r"%\w|\s+|[^%\s]", fmt):
         if token in _DIRECTIVES:
             group, name = _DIRECTIVES[token]
@@ -58,22 +58,18 @@ def lenient_date(c: Column, fmt: str = "%m/%d/%Y") -> Column:
             names.append(name)
         else:
             pieces.append(r"\s*" if token.isspace() else re.escape(token))
-    pattern = "".join(pieces)
-
-    def part(name: str, width: int) -> Column:
-        digits = F.regexp_extract(c, pattern, names.index(name) + 1)
-        return F.lpad(digits, width, "0")
-
-    iso = F.concat_ws("-", part("year", 4), part("month", 2), part("day", 2))
-    return F.when(c.rlike(pattern), iso.try_cast("date"))
+    # One regex pass: a text that does not match falls to the second branch,
+    # whose empty groups leave no date. Zeros keep short years as they are.
+    pattern = rf"^\s*{''.join(pieces)}[\s\S]*$|^[\s\S]*$"
+    year, month, day = (f"${names.index(n) + 1}" for n in ("year", "month", "day"))
+    return F.regexp_replace(c, pattern, f"000{year}-{month}-{day}").try_cast("date")
 
 
 def month_label(c: Column, pivot: int = 69) -> Column:
     """``01-Jan-26`` style label to date; years from ``pivot`` on are 19xx."""
-    pattern = r"^\s*(\d{1,2})-([A-Za-z]{3})-(\d{1,2})"
-    day, name, year = (F.regexp_extract(c, pattern, i) for i in (1, 2, 3))
-    padded = F.concat_ws("-", day, name, F.lpad(year, 2, "0"))
-    this_century = F.try_to_date(F.when(c.rlike(pattern), padded), "d-MMM-yy")
+    label = F.regexp_extract(c, r"^\s*(\d{1,2}-[A-Za-z]{3}-\d{1,2})", 1)
+    padded = F.regexp_replace(label, r"-(\d)$", "-0$1")
+    this_century = F.try_to_date(padded, "d-MMM-yy")
     two_digits = F.pmod(F.year(this_century), F.lit(100))
     return F.when(two_digits >= pivot, F.add_months(this_century, -1200)).otherwise(
         this_century

@@ -56,6 +56,7 @@ class Base:
 
     facts: DataFrame
     weighted: DataFrame
+    months: DataFrame
     silent: DataFrame
 
 
@@ -64,11 +65,9 @@ def base(
 ) -> Base:
     rollup = keep(spill_rollup(tables["new_spills"], tables["old_spills"], cfg))
     facts = written(system_facts(tables, rollup, cfg), "facts")
-    start, end = cfg.window("baseline")
+    months = keep(reporting.month_facts(tables["monthly_counts"], cfg))
     return Base(
-        facts,
-        spills.weighted_rollup(rollup, facts),
-        reporting.silent_ids(tables["monthly_counts"], facts, start, end),
+        facts, spills.weighted_rollup(rollup, facts), months, reporting.silent_ids(months, facts)
     )
 
 
@@ -106,7 +105,7 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
     checkpoint folder and the outlier test runs a few jobs.
     """
     keep = Keeper()
-    facilities, monthly = tables["facilities"], tables["monthly_counts"]
+    facilities = tables["facilities"]
     b = base(tables, cfg, keep)
     attributes = attributes_of(b.facts)
 
@@ -117,8 +116,7 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
     bands12 = spills.of_window(rows, spills.TWELVE_MONTHS)
     low = keep(spills.not_exempt(spills.low_both(bands5, bands12), cfg))
 
-    start, end = cfg.window("reporting")
-    no_certificate = keep(reporting.uncertified_ids(monthly, b.facts, start, end))
+    no_certificate = keep(reporting.uncertified_ids(b.months, b.facts))
     no_report = b.facts.where("eligible AND NOT has_report").select(ID)
     eligible = reporting.eligible_rows(facilities)
     gaps = eligible.join(no_report, ID, "left_semi").join(no_certificate, ID, "left_semi")

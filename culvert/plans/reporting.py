@@ -7,51 +7,71 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from culvert.config import ScreeningConfig
 from culvert.operators.joins import inner_join, keep_in, keep_not_in
 from culvert.plans.facts import ID, keyed
 
 FACILITY_KEYS = [ID, "facility_name", "program_category", "cs_assessment"]
 
 
-def _in_window(df: DataFrame, start: dt.date, end: dt.date, closed: bool):
-    month = F.col("month")
-    until = month <= F.lit(end) if closed else month < F.lit(end)
-    return df.where((month >= F.lit(start)) & until)
-
-
-def _totals(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(
-        F.coalesce(F.sum("spill_count"), F.lit(0)).alias("spill_count"),
-        F.coalesce(F.sum("no_spill_cert"), F.lit(0)).alias("no_spill_cert"),
-    )
-
-
 def silent(
     df: DataFrame, by: str, start: dt.date, end: dt.date, closed: bool
 ) -> DataFrame:
     """Values of ``by`` with rows in the window but neither a spill nor a
     no-spill certificate. Group totals, so no group is ever gathered."""
-    totals = _totals(_in_window(df, start, end, closed), [by])
-    return totals.where("spill_count < 1 AND no_spill_cert < 1").select(by)
+    month = F.col("month")
+    until = month <= F.lit(end) if closed else month < F.lit(end)
+    totals = df.where((month >= F.lit(start)) & until).groupBy(by).agg(
+        F.coalesce(F.sum("spill_count"), F.lit(0)).alias("spills"),
+        F.coalesce(F.sum("no_spill_cert"), F.lit(0)).alias("certs"),
+    )
+    return totals.where("spills < 1 AND certs < 1").select(by)
 
 
-def silent_ids(monthly: DataFrame, systems: DataFrame, start, end) -> DataFrame:
-    """Known ids to leave out of the baseline (closed window, by id)."""
-    return silent(keyed(monthly), ID, start, end, closed=True).join(
-        systems.select(ID), ID, "left_semi"
+def month_facts(monthly: DataFrame, cfg: ScreeningConfig) -> DataFrame:
+    """Rows, spills and certificates per (id, name) in the baseline window
+    (``b_``, closed) and in the reporting window (``r_``, half open), from one
+    scan of the months they cover."""
+    month = F.col("month")
+    b_start, b_end = cfg.window("baseline")
+    r_start, r_end = cfg.window("reporting")
+    windows = {
+        "b": (month >= F.lit(b_start)) & (month <= F.lit(b_end)),
+        "r": (month >= F.lit(r_start)) & (month < F.lit(r_end)),
+    }
+    first, last = F.lit(min(b_start, r_start)), F.lit(max(b_end, r_end))
+    covered = keyed(monthly).where((month >= first) & (month <= last))
+    sums = []
+    for prefix, inside in windows.items():
+        sums += [
+            F.count_if(inside).alias(f"{prefix}_rows"),
+            F.sum(F.when(inside, F.col("spill_count"))).alias(f"{prefix}_spills"),
+            F.sum(F.when(inside, F.col("no_spill_cert"))).alias(f"{prefix}_certs"),
+        ]
+    return covered.groupBy(ID, "system_name").agg(*sums)
+
+
+def _quiet(months: DataFrame, by: str, prefix: str) -> DataFrame:
+    """Values of ``by`` with rows in a window but no spill and no certificate."""
+    totals = months.where(F.col(f"{prefix}_rows") > 0).groupBy(by).agg(
+        F.coalesce(F.sum(f"{prefix}_spills"), F.lit(0)).alias("spills"),
+        F.coalesce(F.sum(f"{prefix}_certs"), F.lit(0)).alias("certs"),
     )
+    return totals.where("spills < 1 AND certs < 1").select(by)
+
+
+def silent_ids(months: DataFrame, systems: DataFrame) -> DataFrame:
+    """Known ids to leave out of the baseline (judged by id)."""
+    return _quiet(months, ID, "b").join(systems.select(ID), ID, "left_semi")
 
 
-def uncertified_ids(monthly: DataFrame, systems: DataFrame, start, end) -> DataFrame:
-    """Known ids under a silent *name* (half-open window).
+def uncertified_ids(months: DataFrame, systems: DataFrame) -> DataFrame:
+    """Known ids under a silent *name*.
 
-    Months are first summed per (id, name); names are then summed from those.
-    A system of the same name that reports clears all ids of that name.
+    A known system of the same name that reports clears all ids of that name.
     """
-    rows = _in_window(keyed(monthly), start, end, closed=False)
-    pairs = _totals(rows, [ID, "system_name"]).join(systems.select(ID), ID, "left_semi")
-    names = _totals(pairs, ["system_name"]).where("spill_count < 1 AND no_spill_cert < 1")
-    return keep_in(pairs, names, "system_name").select(ID).distinct()
+    known = months.where("r_rows > 0").join(systems.select(ID), ID, "left_semi")
+    return keep_in(known, _quiet(known, "system_name", "r"), "system_name").select(ID).distinct()
 
 
 def eligible_rows(facilities: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def connect(folder: str):
 
 def _cell(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6) + 0.0
+        return "nan" if math.isnan(v) else v + 0.0
     return v
 
 
@@ -30,12 +30,6 @@ def _rows(columns, rows):
     return sorted((tuple(_cell(r[i]) for i in order) for r in rows), key=repr)
 
 
-def _close(x, y) -> bool:
-    if isinstance(x, float) and isinstance(y, float):
-        return math.isclose(x, y, rel_tol=1e-9, abs_tol=1.5e-6)
-    return x == y and type(x) is type(y)
-
-
 def differences(df, con, sql: str, limit: int = 5) -> list[str]:
     """Empty when both results hold the same rows."""
     result = con.execute(sql)
@@ -49,6 +43,6 @@ def differences(df, con, sql: str, limit: int = 5) -> list[str]:
     out = [
         f"{a} != {e}"
         for a, e in zip(actual, expected)
-        if not all(_close(x, y) for x, y in zip(a, e))
+        if repr(a) != repr(e)
     ]
     return out[:limit]

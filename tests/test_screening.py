@@ -155,7 +155,7 @@ def test_class_without_baseline_has_no_band(spark):
 def gaps(spark, cfg=CFG, **rows):
     t = tables(spark, **rows)
     known = systems(t["facilities"])
-    ids = reporting.uncertified_ids(t["monthly_counts"], known, *cfg.window("reporting"))
+    ids = reporting.uncertified_ids(reporting.month_facts(t["monthly_counts"], cfg), known)
     return {r.wdid for r in ids.collect()}
 
 

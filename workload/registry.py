@@ -532,7 +532,7 @@ def nonreporting_entities(spark, sf):
 def _certificates(spark, sf):
     t = roles.tables(spark, sf)
     known = facts.systems(t["facilities"])
-    ids = reporting.uncertified_ids(t["monthly_counts"], known, *CONFIG.window("reporting"))
+    ids = reporting.uncertified_ids(reporting.month_facts(t["monthly_counts"], CONFIG), known)
     return reporting.eligible_rows(t["facilities"]).join(ids, "wdid", "left_semi")
 
 
