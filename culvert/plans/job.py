@@ -114,14 +114,14 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
     rows = bands(b, cfg, keep)
     bands5 = spills.of_window(rows, spills.FIVE_YEARS)
     bands12 = spills.of_window(rows, spills.TWELVE_MONTHS)
-    low = keep(spills.not_exempt(spills.low_both(bands5, bands12), cfg))
+    low = spills.not_exempt(spills.low_both(bands5, bands12), cfg)
 
-    no_certificate = keep(reporting.uncertified_ids(b.months, b.facts))
+    no_certificate = reporting.uncertified_ids(b.months, b.facts)
     no_report = b.facts.where("eligible AND NOT has_report").select(ID)
     eligible = reporting.eligible_rows(facilities)
     gaps = eligible.join(no_report, ID, "left_semi").join(no_certificate, ID, "left_semi")
 
-    listed = keep(report.combine(low, gaps, facilities, b.facts))
+    listed = report.combine(low, gaps, facilities, b.facts)
     orders = keep(enforcement.active_orders(tables["enforcement"], facilities, cfg))
 
     ids_low5 = spills.low_rows(bands5).select(ID).distinct()

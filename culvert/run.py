@@ -1,6 +1,6 @@
 """A whole run: load feeds or a snapshot, screen, write the report.
 
-    spark-submit --py-files culvert.zip -m culvert.run \\
+    spark-submit --py-files culvert.zip culvert/run.py \\
         --landing /data/landing --local /data/local \\
         --snapshots /data/snapshots --output /data/outputs [--snapshot 2026-04-13]
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from culvert.config import ScreeningConfig
 from culvert.operators.layout import audit
-from culvert.plans import RESULT_HEADERS, Screening, screen
+from culvert.plans import RESULT_HEADERS, Screening, screen, summary
 from culvert.sources import STAGED, read_delimited, read_snapshot, stage, write_result, write_snapshot
 
 LOCAL = ("facilities", "enforcement")
@@ -63,6 +63,7 @@ def load(
 def publish(run: Screening, root: str, day: dt.date, fmt: str = "csv") -> dict[str, str]:
     """Writes the report, the assets under enforcement, the summary and the
     audit of a run; returns their paths."""
+    report = run.report.persist()  # read by the file, the summary and the audit
     stages = {
         "attributes": run.attributes,
         "rates_5yr": run.rates_5yr,
@@ -71,16 +72,18 @@ def publish(run: Screening, root: str, day: dt.date, fmt: str = "csv") -> dict[s
         "reporting_gaps": run.reporting_gaps,
         "active_orders": run.active_orders,
         "under_enforcement": run.under_enforcement,
-        "report": run.report,
+        "report": report,
     }
-    return {
-        "report": write_result(run.report, root, "report", day, RESULT_HEADERS, fmt),
+    paths = {
+        "report": write_result(report, root, "report", day, RESULT_HEADERS, fmt),
         "under_enforcement": write_result(
             run.under_enforcement, root, "under_enforcement", day, RESULT_HEADERS, fmt
         ),
-        "summary": write_result(run.summary, root, "summary", day, fmt=fmt),
+        "summary": write_result(summary(report), root, "summary", day, fmt=fmt),
         "audit": write_result(audit(stages, "wdid"), root, "audit", day, fmt=fmt),
     }
+    report.unpersist()
+    return paths
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -90,6 +93,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--snapshots", default="snapshots")
     p.add_argument("--snapshot", type=dt.date.fromisoformat)
     p.add_argument("--output", default="outputs")
+    p.add_argument("--start", type=dt.date.fromisoformat, default=ScreeningConfig.analysis_start)
+    p.add_argument("--end", type=dt.date.fromisoformat, default=ScreeningConfig.analysis_end)
     p.add_argument("--format", default="csv", choices=("csv", "parquet"))
     p.add_argument("--one-line-records", action="store_true", help="split large feed files")
     args = p.parse_args(argv)
@@ -104,7 +109,7 @@ def main(argv: list[str] | None = None) -> None:
         day,
         multiline=not args.one_line_records,
     )
-    run = screen(tables, ScreeningConfig())
+    run = screen(tables, ScreeningConfig(analysis_start=args.start, analysis_end=args.end))
     for path in publish(run, args.output, day, args.format).values():
         print(path)
     run.release()
