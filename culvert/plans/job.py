@@ -61,11 +61,16 @@ class Base:
 
 
 def base(
-    tables: Mapping[str, DataFrame], cfg: ScreeningConfig, keep: Callable[[DataFrame], DataFrame]
+    tables: Mapping[str, DataFrame],
+    cfg: ScreeningConfig,
+    keep: Callable[[DataFrame], DataFrame],
+    months: DataFrame | None = None,
 ) -> Base:
+    """``months`` may bring a kept ``reporting.month_facts`` that others read too."""
     rollup = keep(spill_rollup(tables["new_spills"], tables["old_spills"], cfg))
     facts = written(system_facts(tables, rollup, cfg), "facts")
-    months = keep(reporting.month_facts(tables["monthly_counts"], cfg))
+    if months is None:
+        months = reporting.month_facts(tables["monthly_counts"], cfg)
     return Base(
         facts, spills.weighted_rollup(rollup, facts), months, reporting.silent_ids(months, facts)
     )
@@ -106,7 +111,7 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
     """
     keep = Keeper()
     facilities = tables["facilities"]
-    b = base(tables, cfg, keep)
+    b = base(tables, cfg, keep, keep(reporting.month_facts(tables["monthly_counts"], cfg)))
     attributes = attributes_of(b.facts)
 
     # Stored, not cached: a cached frame keeps its whole logical plan, and a frame
