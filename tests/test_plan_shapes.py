@@ -87,3 +87,17 @@ def test_windows_never_hold_a_class(spark):
             # The quantile window sees bracket points only, not rows.
             assert partition in ("wdid", "_g"), partition
         spark.catalog.clearCache()
+
+
+def test_panels_stay_on_the_layout_of_the_rollup(spark, no_broadcast):
+    from culvert.plans import job, spills
+
+    b = job.base(roles.tables(spark, FOLDER), roles.CONFIG, job.Keeper())
+    for rates in (
+        spills.rates_5yr(spills.yearly_counts(b.weighted), roles.CONFIG),
+        spills.rates_12mo(spills.month_counts(b.weighted), roles.CONFIG),
+    ):
+        text = plan(rates)
+        window = text.index("Window [")
+        between = text[window : text.index("SortMergeJoin", window)]
+        assert "HashAggregate" in between and "Exchange" not in between
