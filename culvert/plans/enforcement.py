@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from culvert.config import ScreeningConfig
 from culvert.functions import region
 from culvert.operators.joins import keep_in, keep_not_in
-from culvert.operators.picks import unique_text
 from culvert.plans.facts import ID, keyed
 
 ORDER_ATTRIBUTES = ("population_class", "length_class", "population", "length")
