@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from culvert.llm.components import components
-from culvert.llm.frames import stored, texts
+from culvert.llm.frames import ID_KEY, TEXT_KEY, row_key, stored, texts
 
 QUARTERS = 4
 #: Fingerprints in a tile, at most about 1.2 times as many.
@@ -52,7 +52,8 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp)``, one row per row of ``docs``; ``fp`` holds the 64 bits as a long.
+    """``(id, _row_id, _row_text, fp)``, one row per row of ``docs``; ``fp`` holds the 64
+    bits as a long.
 
     Words are parted by ASCII white space, A-Z is lower-cased, and a bit is set if it
     is set in over half of the word shingles' XXH64. Shorter texts have one shingle;
@@ -62,15 +63,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets, body = texts(batch.column(1))
+            offsets, body = texts(batch.column(3))
             raw = body.tobytes()
             found = np.array(
                 [fingerprint(raw[a:b], shingle) for a, b in itertools.pairwise(offsets.tolist())], np.uint64
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in range(3)), pa.array(found.view(np.int64))], ["id", ID_KEY, TEXT_KEY, "fp"]
+            )
 
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
-    return docs.select(docs[id_col], docs[text_col].cast("string")).mapInArrow(run, schema)
+    schema = T.StructType(
+        [T.StructField("id", docs.schema[id_col].dataType)] + [T.StructField(n, T.LongType()) for n in (ID_KEY, TEXT_KEY, "fp")]
+    )
+    return docs.select(docs[id_col], *row_key(docs, id_col, text_col), docs[text_col].cast("string")).mapInArrow(run, schema)
 
 
 def _near(radius: int) -> list[tuple[int, ...]]:
@@ -155,6 +160,16 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+    """``(id, _row_id, _row_text, fp, root)``: the rows of ``fingerprints`` and a
+    fingerprint that names the group of all that links can reach."""
+    marks = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    distinct = stored(marks.select("fp").distinct(), "distinct")
+    roots = components(links(distinct, radius))
+    known = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return marks.join(known, "fp")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
 ) -> DataFrame:
@@ -166,16 +181,20 @@ def near_duplicates(
     any other. Rows without an id get a component like all others; it is NULL only if
     no member has an id. Empty input gives no rows.
     """
-    marks = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = stored(marks.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = grouped.join(smallest, "root").select("fp", "component_id")
-    return marks.join(known, "fp").select(
-        F.col("id").alias(id_col),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
+    rows = stored(groups(docs, id_col, text_col, shingle, radius), "groups")
+    smallest = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    return rows.join(smallest, "root").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_per_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
+) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of near-duplicates the one with the
+    smallest id (a missing id is smaller than all), of rows with that id the one with the
+    smallest hash of its text, of equal rows any one."""
+    first = groups(docs, id_col, text_col, shingle, radius).groupBy("root").agg(F.min(F.struct(ID_KEY, TEXT_KEY)).alias("k"))
+    keyed = docs.select("*", *row_key(docs, id_col, text_col))
+    stay = keyed.join(first.select("k.*"), [ID_KEY, TEXT_KEY], "left_semi")
+    return stay.dropDuplicates([ID_KEY, TEXT_KEY]).select(*docs.columns)
