@@ -318,7 +318,7 @@ def _runs(which: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 _SUFFIX = np.dtype([("a", "<u8"), ("b", "<u8")])
 
 
-def _send_suffixes(blocks: np.ndarray, buckets: int) -> Callable:
+def _send_suffixes(text_col: str, blocks: np.ndarray, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = _Texts(), 0
         parts: list[tuple[np.ndarray, ...]] = []
@@ -334,9 +334,9 @@ def _send_suffixes(blocks: np.ndarray, buckets: int) -> Callable:
             yield from _post(_home(ids, hashes, buckets)[w], _KNOWN, (ids, hashes), w, p, n)
 
         for batch in batches:
-            offsets, body = texts(batch.column(2))
-            ids, hashes = (batch.column(k).to_numpy() for k in (0, 1))
-            note_at, notes = texts(batch.column(3))
+            offsets, body = texts(batch.column(text_col).cast(pa.string()))
+            ids, hashes = (batch.column(c).to_numpy() for c in (ID_KEY, TEXT_KEY))
+            note_at, notes = texts(batch.column("_anchors"))
             for lo, hi in slices(offsets):
                 if note_at[lo] == note_at[hi]:
                     continue
@@ -415,9 +415,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     anchors = dealt(rows.mapInArrow(_send_anchors(buckets), _POST), _match_anchors(buckets))
     shared = anchors.groupBy("bucket").applyInArrow(_per_text("<u8", False), notes)
     marked = docs.select("*", *row_key(docs, id_col, text_col))
-    slim = marked.select(ID_KEY, TEXT_KEY, F.col(text_col).cast("string").alias("text"))
-    asked = slim.join(shared, [ID_KEY, TEXT_KEY]).select(ID_KEY, TEXT_KEY, "text", "note")
-    suffixes = dealt(asked.mapInArrow(_send_suffixes(blocks, buckets), _POST), _match_suffixes(buckets))
+    # Both joins read the same columns of the texts, so they are dealt by key once.
+    shared = shared.withColumnRenamed("note", "_anchors")
+    asked = marked.join(shared, [ID_KEY, TEXT_KEY])
+    suffixes = dealt(asked.mapInArrow(_send_suffixes(text_col, blocks, buckets), _POST), _match_suffixes(buckets))
     repeats = suffixes.groupBy("bucket").applyInArrow(_per_text("<u4", True), notes)
     joined = marked.join(repeats, [ID_KEY, TEXT_KEY], "left").drop(ID_KEY, TEXT_KEY)
     names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
