@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from culvert.operators.cut import written as stored
+
+__all__ = ["ID_KEY", "NO_ID", "TEXT_KEY", "keyed", "row_key", "shuffle_tasks", "slices", "stored", "texts"]
+
 #: Stands for a missing id in row keys; such rows sort before all others.
 NO_ID = -(2**63)
 
@@ -17,21 +20,6 @@ NO_ID = -(2**63)
 ID_KEY, TEXT_KEY = "_row_id", "_row_text"
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written below ``spark.checkpoint.dir`` and read again, which cuts its
-    lineage: a lost executor costs no more than the step that it worked on."""
-    path = f"{_shared(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _shared(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
-
-
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
