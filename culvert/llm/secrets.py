@@ -101,6 +101,10 @@ def _listed(spans: Column) -> Column:
     )
 
 
+def _of_kind(kind: int) -> Column:
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_assign, n_access, n_hex, base, spans)``, one row per row of ``docs``.
 
@@ -121,7 +125,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = stored(found, "secret-parts")
     linked = _linked(found.where(F.size("weak") > 0)).groupBy(ID_KEY, TEXT_KEY).agg(F.collect_list("s").alias("linked"))
     every = F.sort_array(F.concat("base", F.coalesce("linked", F.array().cast(_SPANS))))
-    counted = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    counted = [_of_kind(k).alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.join(linked, [ID_KEY, TEXT_KEY], "left").select(
         F.col("id").alias(id_col), *counted, _listed(F.col("base")).alias("base"), _listed(every).alias("spans")
     )
