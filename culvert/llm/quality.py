@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from culvert.llm.frames import ROW
+
 #: Words are parted, and lines judged blank, by this white space.
 _SPACE = r"[\x20\x09-\x0D]+"
 _SYMBOLS = "#*$%&|<>"
@@ -74,15 +76,16 @@ def _repeated_words(words: Column) -> Column:
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
-    ``n_repeat_words`` and ``base_failed`` more. A missing text has no words."""
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    """The rows as structs ``_row``, with ``n_words``, ``word_chars``, ``n_symbols``,
+    ``n_dup_lines``, ``n_repeat_words`` and ``base_failed``. A missing text has no words."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+    text = F.coalesce(F.col(ROW)[text_col].cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\x0c\r"))) > 0)
     counts = _let(
         _words(text),
         lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated_words(w).cast("long").alias("r")),
     )
-    out = docs.withColumn("_counts", counts).withColumns(
+    out = rows.withColumn("_counts", counts).withColumns(
         {
             "n_words": F.col("_counts.n"),
             "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
@@ -118,10 +121,11 @@ def _bucket(value: Column) -> Column:
 
 def sketches(measures: DataFrame) -> DataFrame:
     """``(lang, source, measure, bucket, n)``: the sketch of each group, from rows with
-    the measures, ``_lang`` and ``_source``. Counted before any row is shuffled."""
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), _bucket(F.col(m)).alias("bucket")) for m in MEASURES]))
+    the measures, ``_lang`` and ``_source``, without those that fail the base rules.
+    Counted before any row is shuffled. A filter would compute the measures twice."""
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), _bucket(F.col(m)).alias("bucket")) for m in MEASURES])
     return (
-        measures.select("_lang", "_source", each.alias("m"))
+        measures.select("_lang", "_source", F.explode(F.when(~F.col("base_failed"), each)).alias("m"))
         .groupBy("_lang", "_source", "m.measure", "m.bucket")
         .agg(F.count("*").alias("n"))
     )
@@ -155,11 +159,12 @@ def _ranges(sketch: DataFrame, *by: str) -> DataFrame:
 
 def _known(col: str) -> Column:
     """A group's name; missing ones form a group of their own."""
-    return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit(""))
+    return F.coalesce(F.concat(F.lit("="), F.col(ROW)[col].cast("string")), F.lit(""))
 
 
 def thresholds(measures: DataFrame) -> DataFrame:
-    """Ranges per ``_lang`` and ``_source``; small groups get those of the merged sketches."""
+    """Ranges per ``_lang`` and ``_source`` of the rows that pass the base rules; small
+    groups get those of the merged sketches."""
     sketch = sketches(measures)
     bounds = [f"{b}_{m}" for m in MEASURES for b in ("low", "high")]
     own = _ranges(sketch, "_lang", "_source")
@@ -183,7 +188,7 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     same names as the new ones are replaced.
     """
     rows = measured(docs, text_col).withColumns(_shares() | {"_lang": _known(lang_col), "_source": _known(source_col)})
-    ranges = thresholds(rows.where(~F.col("base_failed")))
+    ranges = thresholds(rows)
     inside = F.lit(True)
     for m in MEASURES:
         inside = inside & F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}"))
@@ -191,4 +196,4 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     )
     new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return out.select(*[c for c in docs.columns if c not in new], *new)
+    return out.select(*[F.col(ROW)[c].alias(c) for c in docs.columns if c not in new], *new)
