@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from culvert.llm.frames import ID_KEY, TEXT_KEY, keyed, row_key, stored
+from culvert.llm.frames import ID_KEY, ROW, TEXT_KEY, keyed, packed, stored
 from culvert.llm.wordhash import grams
 
 #: White space that does not count in a line.
@@ -73,9 +73,12 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .where(F.col("a") != F.col("b"))
         .select("mark")
     )
-    joined = windows.join(shared, "mark", "left_semi")
-    first = joined.groupBy("mark", "w1", "w2").agg(F.min(place).alias("first"))
-    later = joined.join(first, ["mark", "w1", "w2"]).where(place != F.col("first"))
+    # Equal windows have equal marks, so the windows are dealt anew by all their lines:
+    # a line that a third of all texts hold does not bring its windows into one task.
+    # Both small sides are stored, so Spark can split the rows of a hot key on the other.
+    joined = windows.join(stored(shared, "line-marks"), "mark", "left_semi").drop("mark")
+    first = joined.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = joined.join(stored(first, "line-firsts"), ["w1", "w2"]).where(place != F.col("first"))
     return later.groupBy(ID_KEY, TEXT_KEY).agg(F.collect_set("start").alias("starts"))
 
 
@@ -88,26 +91,23 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and text are one document and are treated alike; rows with the same id and other
     texts, and rows without an id (before all others), are in order of the text's hash.
     """
-    keys = [f"{ID_KEY}_line", f"{TEXT_KEY}_line"]
-    marked = docs.select("*", *[c.alias(n) for c, n in zip(row_key(docs, id_col, text_col), keys, strict=True)])
     found = repeated_windows(docs, id_col, text_col, run)
-    found = found.withColumnsRenamed(dict(zip([ID_KEY, TEXT_KEY, "starts"], [*keys, "_line_starts"], strict=True)))
-    joined = marked.join(found, keys, "left").drop(*keys)
-    inputs, at = docs.columns, docs.columns.index(text_col)
+    joined = packed(docs, id_col, text_col).join(found, [ID_KEY, TEXT_KEY], "left").select(ROW, "starts")
+    inputs = docs.columns
     names = [c for c in inputs if c not in ("n_lines", "n_removed")]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            columns = dict(zip(inputs, batch.column(ROW).flatten(), strict=True))
             text, count, gone = [], [], []
-            for t, starts in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
-                value, starts = t.as_py(), starts.as_py()
+            for value, starts in zip(columns[text_col].to_pylist(), batch.column("starts").to_pylist(), strict=True):
                 lines, places = _lines(value)
                 drop = {places[k] for s in starts or () for k in range(s, s + run)}
-                text.append("\n".join(itertools.compress(lines, (k not in drop for k in range(len(lines))))) if drop else value)
+                stay = (k not in drop for k in range(len(lines)))
+                text.append("\n".join(itertools.compress(lines, stay)) if drop else value)
                 count.append(len(places))
                 gone.append(len(drop))
-            columns = {c: batch.column(k) for k, c in enumerate(inputs)}
-            columns[text_col] = pa.array(text, batch.column(at).type)
+            columns[text_col] = pa.array(text, columns[text_col].type)
             yield pa.RecordBatch.from_arrays(
                 [*(columns[n] for n in names), pa.array(count, pa.int64()), pa.array(gone, pa.int64())],
                 names=[*names, "n_lines", "n_removed"],
