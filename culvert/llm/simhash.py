@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from culvert.llm.components import components
-from culvert.llm.frames import ID_KEY, TEXT_KEY, row_key, stored, texts
+from culvert.llm.frames import ID_KEY, TEXT_KEY, packed, row_key, stored, texts, unpacked
 
 QUARTERS = 4
 #: Fingerprints in a tile, at most about 1.2 times as many.
@@ -182,7 +182,8 @@ def near_duplicates(
     no member has an id. Empty input gives no rows.
     """
     rows = stored(groups(docs, id_col, text_col, shingle, radius), "groups")
-    smallest = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    # Stored, so Spark can split the rows of a large group in the join.
+    smallest = stored(rows.groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
     return rows.join(smallest, "root").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -195,6 +196,5 @@ def one_per_group(
     smallest id (a missing id is smaller than all), of rows with that id the one with the
     smallest hash of its text, of equal rows any one."""
     first = groups(docs, id_col, text_col, shingle, radius).groupBy("root").agg(F.min(F.struct(ID_KEY, TEXT_KEY)).alias("k"))
-    keyed = docs.select("*", *row_key(docs, id_col, text_col))
-    stay = keyed.join(first.select("k.*"), [ID_KEY, TEXT_KEY], "left_semi")
-    return stay.dropDuplicates([ID_KEY, TEXT_KEY]).select(*docs.columns)
+    stay = packed(docs, id_col, text_col).join(first.select("k.*"), [ID_KEY, TEXT_KEY], "left_semi")
+    return unpacked(stay.dropDuplicates([ID_KEY, TEXT_KEY]), docs.columns)
