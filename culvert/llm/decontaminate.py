@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from culvert.llm.frames import ID_KEY, NO_ID, TEXT_KEY, keyed, row_key, slices, stored, texts
+from culvert.llm.frames import ID_KEY, NO_ID, TEXT_KEY, keyed, packed, slices, stored, texts, unpacked
 from culvert.llm.wordhash import MARKS, Words, grams
 
 STRETCH = 13
@@ -211,6 +211,5 @@ def leaks(
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no item of ``benchmark``, unchanged."""
-    keyed = docs.select("*", *row_key(docs, id_col, text_col))
     found = leaks(docs, benchmark, id_col, text_col).select(ID_KEY, TEXT_KEY).distinct()
-    return keyed.join(found, [ID_KEY, TEXT_KEY], "left_anti").select(*docs.columns)
+    return unpacked(packed(docs, id_col, text_col).join(found, [ID_KEY, TEXT_KEY], "left_anti"), docs.columns)

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from culvert.operators.cut import written as stored
 
-__all__ = ["ID_KEY", "NO_ID", "TEXT_KEY", "keyed", "row_key", "shuffle_tasks", "slices", "stored", "texts"]
+__all__ = [
+    "ID_KEY", "NO_ID", "ROW", "TEXT_KEY", "keyed", "packed", "row_key", "shuffle_tasks", "slices", "stored", "texts", "unpacked",
+]
 
 #: Stands for a missing id in row keys; such rows sort before all others.
 NO_ID = -(2**63)
 
 #: Keys that a text operator adds to its rows for as long as it runs.
 ID_KEY, TEXT_KEY = "_row_id", "_row_text"
+ROW = "_row"
 
 
 def shuffle_tasks(spark: SparkSession) -> int:
@@ -30,6 +33,17 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(*row_key(df, id_col, text_col), F.col(text_col).alias("text"))
 
 
+def packed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The key, and the row as one struct: no name of its columns can clash with those
+    that an operator adds."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW)
+    return df.select(*row_key(df, id_col, text_col), whole)
+
+
+def unpacked(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(*[F.col(ROW)[n].alias(n) for n in names])
+
+
 def row_key(df: DataFrame, id_col: str, text_col: str) -> list[Column]:
     return [
         F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)).alias(ID_KEY),

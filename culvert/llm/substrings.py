@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from culvert.llm.frames import ID_KEY, TEXT_KEY, keyed, row_key, shuffle_tasks, slices, texts
+from culvert.llm.frames import ID_KEY, ROW, TEXT_KEY, keyed, packed, shuffle_tasks, slices, texts
 from culvert.llm.wordhash import Words, grams
 
 WINDOW, BLOCK, GRAM = 20, 5, 8
@@ -318,7 +318,7 @@ def _runs(which: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 _SUFFIX = np.dtype([("a", "<u8"), ("b", "<u8")])
 
 
-def _send_suffixes(text_col: str, blocks: np.ndarray, buckets: int) -> Callable:
+def _send_suffixes(at_text: int, blocks: np.ndarray, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = _Texts(), 0
         parts: list[tuple[np.ndarray, ...]] = []
@@ -334,9 +334,9 @@ def _send_suffixes(text_col: str, blocks: np.ndarray, buckets: int) -> Callable:
             yield from _post(_home(ids, hashes, buckets)[w], _KNOWN, (ids, hashes), w, p, n)
 
         for batch in batches:
-            offsets, body = texts(batch.column(text_col).cast(pa.string()))
+            offsets, body = texts(batch.column(ROW).flatten()[at_text])
             ids, hashes = (batch.column(c).to_numpy() for c in (ID_KEY, TEXT_KEY))
-            note_at, notes = texts(batch.column("_anchors"))
+            note_at, notes = texts(batch.column("note"))
             for lo, hi in slices(offsets):
                 if note_at[lo] == note_at[hi]:
                     continue
@@ -414,21 +414,21 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     anchors = dealt(rows.mapInArrow(_send_anchors(buckets), _POST), _match_anchors(buckets))
     shared = anchors.groupBy("bucket").applyInArrow(_per_text("<u8", False), notes)
-    marked = docs.select("*", *row_key(docs, id_col, text_col))
     # Both joins read the same columns of the texts, so they are dealt by key once.
-    shared = shared.withColumnRenamed("note", "_anchors")
+    marked = packed(docs, id_col, text_col)
+    inputs = docs.columns
     asked = marked.join(shared, [ID_KEY, TEXT_KEY])
-    suffixes = dealt(asked.mapInArrow(_send_suffixes(text_col, blocks, buckets), _POST), _match_suffixes(buckets))
-    repeats = suffixes.groupBy("bucket").applyInArrow(_per_text("<u4", True), notes)
-    joined = marked.join(repeats, [ID_KEY, TEXT_KEY], "left").drop(ID_KEY, TEXT_KEY)
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    inputs, at = docs.columns, docs.columns.index(text_col)
+    sent = asked.mapInArrow(_send_suffixes(inputs.index(text_col), blocks, buckets), _POST)
+    repeats = dealt(sent, _match_suffixes(buckets)).groupBy("bucket").applyInArrow(_per_text("<u4", True), notes)
+    joined = marked.join(repeats, [ID_KEY, TEXT_KEY], "left").select(ROW, "note")
+    names = [c for c in inputs if c not in ("n_words", "n_removed")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_cut(t.as_py(), n.as_py()) for t, n in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True)]
-            text, count, gone = zip(*found, strict=True) if found else ((), (), ())
-            columns = {c: batch.column(k) for k, c in enumerate(inputs)} | {text_col: pa.array(text, pa.string())}
+            columns = dict(zip(inputs, batch.column(ROW).flatten(), strict=True))
+            pairs = zip(columns[text_col].to_pylist(), batch.column("note").to_pylist(), strict=True)
+            text, count, gone = zip(*(_cut(t, n) for t, n in pairs), strict=True) if batch.num_rows else ((), (), ())
+            columns[text_col] = pa.array(text, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*(columns[n] for n in names), pa.array(count, pa.int64()), pa.array(gone, pa.int64())],
                 names=[*names, "n_words", "n_removed"],
