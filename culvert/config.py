@@ -47,6 +47,9 @@ REASON_BOTH = "Low Performance (System Length, 5yr & 12mo) & Reporting Criteria"
 REASON_SPILLS = "Low Performance - System Length (5yr & 12mo)"
 REASON_REPORTING = "Reporting Criteria"
 REASON_OTHER = "Other"
+FLAG_NO_CERTIFICATE = "No spills reported"
+FLAG_NO_REPORT = "No annual report"
+PERFORMANCE_CATEGORY = "Length"
 
 
 def _year_before(day: dt.date) -> dt.date:

@@ -65,28 +65,32 @@ def lenient_date(c: Column, fmt: str = "%m/%d/%Y") -> Column:
     return F.regexp_replace(c, pattern, f"000{year}-{month}-{day}").try_cast("date")
 
 
-def month_label(c: Column, pivot: int = 69) -> Column:
-    """``01-Jan-26`` style label to date; years from ``pivot`` on are 19xx."""
-    label = F.regexp_extract(c, r"^\s*(\d{1,2}-[A-Za-z]{3}-\d{1,2})", 1)
-    padded = F.regexp_replace(label, r"-(\d)$", "-0$1")
-    this_century = F.try_to_date(padded, "d-MMM-yy")
+def _in_century(this_century: Column, pivot: int) -> Column:
+    """Dates of two-digit years: those from ``pivot`` on are 19xx."""
     two_digits = F.pmod(F.year(this_century), F.lit(100))
     return F.when(two_digits >= pivot, F.add_months(this_century, -1200)).otherwise(
         this_century
     )
 
 
-def free_date(c: Column) -> Column:
-    """Day-month-year with any separators; month as number or name."""
+def month_label(c: Column, pivot: int = 69) -> Column:
+    """``01-Jan-26`` style label to date, the month's name short or whole; years
+    from ``pivot`` on are 19xx."""
+    label = F.regexp_extract(c, r"^\s*(\d{1,2}-[A-Za-z]{3,9}-\d{1,2})", 1)
+    padded = F.regexp_replace(label, r"-(\d)$", "-0$1")
+    named = F.coalesce(*(F.try_to_date(padded, fmt) for fmt in ("d-MMM-yy", "d-MMMM-yy")))
+    return _in_century(named, pivot)
+
+
+def free_date(c: Column, pivot: int = 69) -> Column:
+    """Day-month-year with any separators; month as number or name, short or whole.
+    Two-digit years from ``pivot`` on are 19xx."""
     pattern = r"^\W*(\d{1,2})\W*([A-Za-z]+|\d{1,2})\W*(\d{4}|\d{2})\W*$"
     parts = [F.regexp_extract(c, pattern, i) for i in (1, 2, 3)]
     text = F.when(c.rlike(pattern), F.concat_ws(" ", *parts))
-    return F.coalesce(
-        *(
-            F.try_to_date(text, fmt)
-            for fmt in ("d M yyyy", "d MMM yyyy", "d MMMM yyyy", "d M yy", "d MMM yy", "d MMMM yy")
-        )
-    )
+    months = ("M", "MMM", "MMMM")
+    short = F.coalesce(*(F.try_to_date(text, f"d {m} yy") for m in months))
+    return F.coalesce(*(F.try_to_date(text, f"d {m} yyyy") for m in months), _in_century(short, pivot))
 
 
 def region(c: Column) -> Column:

@@ -2,8 +2,9 @@
 
 All of them are equi-joins for Spark, so it picks broadcast, sort-merge or
 hash by size; nothing is broadcast by hint here because neither side has a
-proven bound. ``salts`` spreads a hot left key: the left side gets a salt from
-its row hash and the (much smaller) right side is copied once per salt.
+proven bound. ``spread`` parts the rows of hot left keys: keys with more rows than
+``HOT_ROWS`` are counted first, their left rows are dealt out at random over as many
+salts as that takes, and the right rows of these keys are copied once per salt.
 """
 
 from __future__ import annotations
@@ -15,20 +16,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "_salt"
+#: Left rows of one key that a task may get.
+HOT_ROWS = 500_000
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _spread(left: DataFrame, right: DataFrame, keys: list[str], salts: int):
-    if salts <= 1:
+def _spread(left: DataFrame, right: DataFrame, keys: list[str], spread: bool, limit: int | None):
+    if not spread:
         return left, right, keys
-    spread_left = left.withColumn(
-        _SALT, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    )
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return spread_left, right.withColumn(_SALT, copies), [*keys, _SALT]
+    limit = limit or HOT_ROWS
+    # Counted in the map tasks; few keys are hot, so Spark broadcasts the list.
+    hot = left.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    parts = hot.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
+    last = F.coalesce("_parts", F.lit(1)) - 1
+
+    def marked(df: DataFrame) -> DataFrame:
+        return _join(df, parts, keys, "left").drop(*[f"_r_{c}" for c in keys])
+
+    # The place in the input, not the row's content: equal rows part as well.
+    numbered = marked(left.withColumn("_at", F.monotonically_increasing_id()))
+    salt = F.pmod(F.col("_at"), last + 1).cast("int")
+    spread_left = numbered.withColumn(_SALT, salt).drop("_parts", "_at")
+    copies = F.explode(F.sequence(F.lit(0), last))
+    return spread_left, marked(right).withColumn(_SALT, copies).drop("_parts"), [*keys, _SALT]
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -41,10 +54,10 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataF
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, on: str | Sequence[str], salts: int = 1
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], spread: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Left join, many-to-many allowed; the key comes from the left side."""
-    l, r, keys = _spread(left, right, _keys(on), salts)
+    l, r, keys = _spread(left, right, _keys(on), spread, hot_rows)
     return _join(l, r, keys, "left").drop(*[f"_r_{c}" for c in keys], _SALT)
 
 
@@ -62,7 +75,7 @@ def full_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 
 
 def keep_in(
-    df: DataFrame, keys_df: DataFrame, on: str | Sequence[str], salts: int = 1
+    df: DataFrame, keys_df: DataFrame, on: str | Sequence[str], spread: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Rows whose key occurs in ``keys_df``.
 
@@ -70,16 +83,16 @@ def keep_in(
     however many rows a hot key has there.
     """
     wanted = keys_df.select(*_keys(on)).distinct()
-    l, r, keys = _spread(df, wanted, _keys(on), salts)
+    l, r, keys = _spread(df, wanted, _keys(on), spread, hot_rows)
     return _join(l, r, keys, "left_semi").drop(_SALT)
 
 
 def keep_not_in(
-    df: DataFrame, keys_df: DataFrame, on: str | Sequence[str], salts: int = 1
+    df: DataFrame, keys_df: DataFrame, on: str | Sequence[str], spread: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Rows whose key does not occur in ``keys_df``."""
     unwanted = keys_df.select(*_keys(on)).distinct()
-    l, r, keys = _spread(df, unwanted, _keys(on), salts)
+    l, r, keys = _spread(df, unwanted, _keys(on), spread, hot_rows)
     return _join(l, r, keys, "left_anti").drop(_SALT)
 
 

@@ -23,15 +23,17 @@ def attach_lookup(
     return df.join(F.broadcast(lookup), key, "left")
 
 
-def audit(stages: Mapping[str, DataFrame], id_col: str) -> DataFrame:
+def audit(stages: Mapping[str, DataFrame], id_col: str, folded: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Rows and distinct ids of named stages, one row each.
 
     Ids are first grouped by key, so a stage is counted from partial counts
-    and never gathered; a NULL id counts as one id.
+    and never gathered; a NULL id counts as one id. ``folded`` stages bring
+    their rows as counts in a column ``n``.
     """
     out = None
-    for name, df in stages.items():
-        per_id = df.groupBy(id_col).agg(F.count("*").alias("n"))
+    for name, df in {**stages, **(folded or {})}.items():
+        n = F.sum("n") if name in (folded or {}) else F.count("*")
+        per_id = df.groupBy(id_col).agg(n.alias("n"))
         row = per_id.agg(
             F.lit(name).alias("stage"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),

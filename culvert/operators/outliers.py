@@ -9,8 +9,9 @@ That chain is sequential, but short: only the ``k`` lowest and ``k`` highest
 values take part, and everything between them enters as three sums. So Spark
 cuts the tails with a sketch, ranks them by a distributed sort, and sums the
 rest; the chain then walks inward over blocks of ranks. A task holds two
-blocks of a class, never a class; the driver holds one state row per class and
-two sums per block.
+blocks of a class, never a class. All classes walk their first blocks in one pass,
+however many there are; the driver only holds a state row for each class that has
+further blocks to go.
 """
 
 from __future__ import annotations
@@ -26,14 +27,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from culvert.operators.cut import written
+from culvert.operators.cut import new_table, written
 from culvert.operators.quantiles import exact_quantiles
 
 # The task function travels with its helpers: executors need no copy of us.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 250_000
-MAX_CLASSES = 1_000
 _SHARE = 0.10
 _CUT = _SHARE + 0.01
 _LOW, _HIGH = 0, 1
@@ -52,7 +52,7 @@ def max_deviate(df: DataFrame, cls: str, x: str) -> DataFrame:
 def extreme_candidates(df: DataFrame, cls: str, x: str, ratio: float = _SHARE) -> DataFrame:
     """Rows at or beyond the cuts that hold every value the test can remove."""
     cuts = exact_quantiles(df, cls, x, {"_cut_low": ratio + 0.01, "_cut_high": 0.99 - ratio})
-    joined = df.join(F.broadcast(cuts), cls)  # one row per class
+    joined = df.join(cuts, cls)
     outside = (F.col(x) <= F.col("_cut_low")) | (F.col(x) >= F.col("_cut_high"))
     return joined.where(outside).drop("_cut_low", "_cut_high")
 
@@ -261,11 +261,8 @@ def gesd_steps(
             F.col("_p")[2].alias("hi"),
         )
     )
-    classes = sketch.limit(MAX_CLASSES + 1).collect()  # one row per class
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{cls} has more than {MAX_CLASSES} classes; the test is for few large ones")
-    known = spark.createDataFrame(classes, sketch.schema)
-    placed = rows.join(F.broadcast(known), cls).withColumn("dev", F.col("_x") - F.col("mid"))
+    known = written(sketch, "classes")
+    placed = rows.join(known, cls).withColumn("dev", F.col("_x") - F.col("mid"))
 
     low_end = F.when(F.col("_x") <= F.col("lo"), F.struct(F.lit(_LOW).alias("side"), F.col("dev").alias("key")))
     high_end = F.when(
@@ -278,7 +275,8 @@ def gesd_steps(
     ranked = rank_in_group(ends, [cls, "side"], ["key", *tie]).withColumn(
         "block", F.floor(F.col("rank") / block)
     )
-    removable = ranked.where(F.col("rank") < F.col("k"))
+    # One folder per block, so a round reads the blocks that it walks over and no others.
+    removable = written(ranked.where(F.col("rank") < F.col("k")), "tail", "block")
 
     # What can never be removed (block -1): values between the cuts, and tail
     # values whose rank is k or more from both ends.
@@ -294,66 +292,62 @@ def gesd_steps(
         .groupBy(cls, "side", "block")
         .agg(F.sum("dev").alias("s"), F.sum(F.col("dev") * F.col("dev")).alias("q"))
     )
-    part_sums = {(r[cls], r["side"], r["block"]): (r["s"], r["q"]) for r in parts.collect()}
+    sums = written(parts, "tail-sums")
 
-    states = {
-        r[cls]: {"n": r["n"], "k": r["k"], "step": 0, "a": 0, "b": 0}
-        for r in classes
-        if r["k"] > 0
-    }
     schema = f"{cls} {cls_type}, step long, side int, rank long, r_stat double, a long, b long, critical double"
-    state_schema = (
-        f"{cls} {cls_type}, n long, k long, step long, a long, b long, "
-        "low_block long, high_block long, inner_s double, inner_q double"
-    )
     walk = _walker(cls, tie, alpha)
-    logs: list[DataFrame] = []
-    while states:
-        rows_now = []
-        for c, st in states.items():
-            low_block, high_block = st["a"] // block, st["b"] // block
-            inner = [part_sums.get((c, _LOW, -1), (0.0, 0.0))]
-            for side, current in ((_LOW, low_block), (_HIGH, high_block)):
-                last = (st["k"] - 1) // block
-                inner += [part_sums[(c, side, i)] for i in range(last, current, -1)]
-            rows_now.append(
-                (c, st["n"], st["k"], st["step"], st["a"], st["b"], low_block, high_block,
-                 math.fsum(s for s, _ in inner), math.fsum(q for _, q in inner))
-            )
-        current = spark.createDataFrame(rows_now, state_schema)
+    logs = new_table(spark, "removed")
+
+    def round_(state: DataFrame, blocks: Sequence[int]) -> None:
+        """Walks one pair of blocks of each class in ``state``; adds to the log."""
+        last = F.when(F.col("side") == _LOW, F.col("low_block")).otherwise(F.col("high_block"))
+        within = sums.join(state.select(cls, "low_block", "high_block"), cls)
+        inner = (
+            within.where((F.col("block") == -1) | (F.col("block") > last))
+            .groupBy(cls)
+            .agg(F.sum("s").alias("inner_s"), F.sum("q").alias("inner_q"))
+        )
+        current = state.join(inner, cls, "left").fillna(0.0, ["inner_s", "inner_q"])
         here = (
-            removable.drop("n", "k")
-            .join(F.broadcast(current), cls)
-            .where(
-                F.col("block")
-                == F.when(F.col("side") == _LOW, F.col("low_block")).otherwise(F.col("high_block"))
+            removable.where(F.col("block").isin(*blocks))
+            .drop("n", "k")
+            .join(current, cls)
+            .where(F.col("block") == last)
+        )
+        here.groupBy(cls).applyInPandas(walk, schema).write.mode("append").parquet(logs)
+
+    zero = F.lit(0).cast("long")
+    start = known.where("k > 0").select(
+        cls, "n", "k", *[zero.alias(c) for c in ("step", "a", "b", "low_block", "high_block")]
+    )
+    # A class of one block per side is through after this, however many there are.
+    round_(start, [0])
+    steps = spark.read.schema(schema).parquet(logs)
+    seen: dict | None = None
+    while True:
+        at = steps.groupBy(cls).agg(F.max(F.struct("step", "a", "b")).alias("at"))
+        left = (
+            known.where(F.col("k") > block)
+            .join(at, cls)
+            .where(F.col("at.step") < F.col("k"))
+            .select(
+                cls, "n", "k", "at.*",
+                F.expr(f"at.a div {block}").alias("low_block"), F.expr(f"at.b div {block}").alias("high_block"),
             )
         )
-        log = written(here.groupBy(cls).applyInPandas(walk, schema), "removed")
-        logs.append(log)
-        # A class of one block per side is through after one round.
-        states = {c: st for c, st in states.items() if st["k"] > block}
-        if not states:
+        # Classes with more removable values than a block: at most one per ten blocks of rows.
+        now = left.collect()
+        moved = {r[cls]: r["step"] for r in now}
+        if not now or moved == seen:
             break
-        at = log.groupBy(cls).agg(F.max(F.struct("step", "a", "b")).alias("last")).collect()
-        moved = {r[cls]: r["last"].asDict() for r in at}
-        states = {
-            c: {**st, **moved[c]}
-            for c, st in states.items()
-            if c in moved and moved[c]["step"] < st["k"]
-        }
-
-    if not logs:
-        steps = spark.createDataFrame([], schema)
-    else:
-        steps = logs[0]
-        for log in logs[1:]:
-            steps = steps.unionByName(log)
+        seen = moved
+        round_(spark.createDataFrame(now, left.schema), sorted({r[c] for r in now for c in ("low_block", "high_block")}))
+        steps = spark.read.schema(schema).parquet(logs)
     decided = steps.groupBy(cls).agg(
         F.coalesce(F.max(F.when(F.col("r_stat") > F.col("critical"), F.col("step"))), F.lit(0)).alias("_s")
     )
     return (
-        steps.join(F.broadcast(decided), cls)  # one row per class
+        steps.join(decided, cls)
         .join(removable.select(cls, "side", "rank", F.col("_x").alias(x), *tie), [cls, "side", "rank"])
         .select(
             cls, "step", *tie, x, "r_stat", "critical",

@@ -26,7 +26,7 @@ def active_orders(orders: DataFrame, facilities: DataFrame, cfg: ScreeningConfig
         & (F.col("effective_date") >= F.lit(start))
         & (F.col("effective_date") < F.lit(end))
     )
-    return keep_in(kept, facilities, "facility_id")
+    return keep_in(kept, facilities, "facility_id", spread=True)
 
 
 def order_summary(orders: DataFrame, key: str, sequence: Sequence[str]) -> DataFrame:
@@ -56,8 +56,8 @@ def order_summary(orders: DataFrame, key: str, sequence: Sequence[str]) -> DataF
 
 def under_enforcement(orders: DataFrame, attributes: DataFrame, listed: DataFrame) -> DataFrame:
     """Assets with an active order that are not on the list, with attributes."""
-    open_orders = orders.where(F.col(ID).isNotNull())
-    assets = keyed(keep_not_in(open_orders, listed, ID)).select(ID, "facility_name").distinct()
+    open_orders = orders.where(F.col(ID).isNotNull()).select(ID, "facility_name").distinct()
+    assets = keyed(keep_not_in(open_orders, listed, ID))
     return (
         assets.withColumn("region", region(F.col(ID)))
         .join(attributes.select(ID, *ORDER_ATTRIBUTES), ID, "left")

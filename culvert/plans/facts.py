@@ -45,7 +45,7 @@ def clean_feed(
 ) -> DataFrame:
     """Spill rows of known assets that the criteria count, with their year."""
     scoped = df.where(in_scope(cfg, types)).withColumn("spill_year", F.year("spill_date"))
-    return keep_in(scoped, known, ID)
+    return keep_in(scoped, known, ID, spread=True)
 
 
 def systems(facilities: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def report_facts(reports: DataFrame) -> DataFrame:
     reports in every map task.
     """
     either = F.col("length").isNotNull() | F.col("population").isNotNull()
-    year = F.coalesce("report_year", F.lit(-9999)).cast("decimal(5,0)")
+    year = F.coalesce(F.col("report_year").try_cast("decimal(5,0)"), F.lit(-9999))
     place = year * F.lit(Decimal(10**19)) - F.col("row_no").cast("decimal(20,0)")
     recency = F.when(either, place.cast("decimal(38,0)"))
     return (

@@ -30,6 +30,7 @@ class Screening:
     under_enforcement: DataFrame
     report: DataFrame
     summary: DataFrame
+    stages: dict[str, DataFrame]
     kept: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
@@ -58,6 +59,7 @@ class Base:
     weighted: DataFrame
     months: DataFrame
     silent: DataFrame
+    stages: dict[str, DataFrame]
 
 
 def base(
@@ -72,7 +74,11 @@ def base(
     if months is None:
         months = reporting.month_facts(tables["monthly_counts"], cfg)
     return Base(
-        facts, spills.weighted_rollup(rollup, facts), months, reporting.silent_ids(months, facts)
+        facts,
+        spills.weighted_rollup(rollup, facts),
+        months,
+        reporting.silent_ids(months, facts),
+        spills.stage_counts(rollup, facts),
     )
 
 
@@ -125,48 +131,27 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
     no_report = b.facts.where("eligible AND NOT has_report").select(ID)
     eligible = reporting.eligible_rows(facilities)
     gaps = eligible.join(no_report, ID, "left_semi").join(no_certificate, ID, "left_semi")
-
-    listed = report.combine(low, gaps, facilities, b.facts)
     orders = keep(enforcement.active_orders(tables["enforcement"], facilities, cfg))
 
-    ids_low5 = spills.low_rows(bands5).select(ID).distinct()
-    no_certificate_ids = no_certificate.join(
-        b.facts.where("eligible").select(ID), ID, "left_semi"
-    )
-    flags = b.facts.select(ID)
-    # Orders only count here for unlisted assets, and the report lists no such
-    # asset: by default the flag is FALSE throughout.
-    flagged = orders.select(ID).distinct() if cfg.enforcement_flag == "all" else None
-    for name, ids in (
-        ("low_5yr", ids_low5),
-        ("low_12mo", spills.low_rows(bands12).select(ID)),
-        ("low_both", low.select(ID)),
-        ("no_certificate", no_certificate_ids),
-        ("no_report", no_report),
-        ("has_order", flagged),
-    ):
-        if ids is None:
-            flags = flags.withColumn(name, F.lit(False))
-        else:
-            flags = flags.join(ids.withColumn(name, F.lit(True)), ID, "left")
-
+    records = report.asset_records(b.facts, rows, no_certificate, cfg)
+    listed = report.listed_assets(facilities, records)
     wide = report.assemble(
         listed,
         facilities,
-        attributes,
-        bands5,
-        bands12,
-        flags,
+        records,
         enforcement.order_summary(keyed(orders), ID, cfg.order_sequence),
         report.spill_summary(b.weighted),
+        # Orders only count here for unlisted assets, and the report lists no such
+        # asset: by default the flag is FALSE throughout.
+        keyed(orders).select(ID).distinct() if cfg.enforcement_flag == "all" else None,
     )
     final = unkeyed(wide)
     return Screening(
         attributes=unkeyed(attributes),
         rates_5yr=unkeyed(bands5),
         rates_12mo=unkeyed(bands12),
-        low_both=unkeyed(low),
-        reporting_gaps=unkeyed(gaps),
+        low_both=unkeyed(spills.described(low, facilities)),
+        reporting_gaps=unkeyed(reporting.with_attributes(gaps, b.facts)),
         listed=unkeyed(listed),
         active_orders=orders,
         under_enforcement=unkeyed(
@@ -174,6 +159,7 @@ def screen(tables: Mapping[str, DataFrame], cfg: ScreeningConfig = ScreeningConf
         ),
         report=final,
         summary=report.summary(final),
+        stages=b.stages | {"silent": unkeyed(b.silent), "uncertified": unkeyed(no_certificate), "unreported": unkeyed(no_report)},
         kept=keep.kept,
     )
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from culvert.config import SOURCE_REPORTING, SOURCE_SPILLS
+from culvert.config import LOW_PERFORMING, SOURCE_REPORTING, SOURCE_SPILLS, ScreeningConfig
 from culvert.functions import criteria_met, reason, region
 from culvert.operators.layout import layout
-from culvert.operators.picks import first_row, label_sources
+from culvert.operators.picks import label_sources
+from culvert.plans.attributes import ATTRIBUTES
 from culvert.plans.facts import ID, NO_ID, keyed
+from culvert.plans.spills import FIVE_YEARS, TWELVE_MONTHS
 
 # Order and file headers of the result columns.
 RESULT_HEADERS = {
@@ -85,30 +87,92 @@ def combine(low: DataFrame, gaps: DataFrame, facilities: DataFrame, systems: Dat
     )
 
 
-def latest_5yr(bands5: DataFrame) -> DataFrame:
-    """Last full window of each asset."""
-    return first_row(bands5, [ID], [F.col("year").desc()]).select(
+def fold_bands(bands: DataFrame) -> DataFrame:
+    """All that the report takes from the bands of both windows, one row per asset:
+    the last full five years, the twelve months, and the first low row of each."""
+    five, twelve = F.col("window") == FIVE_YEARS, F.col("window") == TWELVE_MONTHS
+    low = F.col("band") == LOW_PERFORMING
+    both = ("rolling_avg", "rate", "band", "is_outlier")
+    return bands.groupBy(ID).agg(
+        F.max_by(F.struct(*both), F.when(five, F.col("period"))).alias("_five"),
+        F.max_by(F.struct("month", *both), F.when(twelve, F.col("period"))).alias("_twelve"),
+        F.min_by(F.struct("rate", "length_class"), F.when(five & low, F.col("period"))).alias("_low5"),
+        F.min_by(F.struct("rate", "length_class"), F.when(twelve & low, F.col("period"))).alias("_low12"),
+    )
+
+
+def asset_records(
+    facts: DataFrame, bands: DataFrame, no_certificate: DataFrame, cfg: ScreeningConfig
+) -> DataFrame:
+    """One row per known asset: its attributes, bands and flags. Reads each input once."""
+    marked = no_certificate.select(ID).withColumn("_uncertified", F.lit(True))
+    joined = facts.join(fold_bands(bands), ID, "left").join(marked, ID, "left")
+    low5, low12 = F.col("_low5").isNotNull(), F.col("_low12").isNotNull()
+    c5, c12 = F.col("_low5.length_class"), F.col("_low12.length_class")
+    final = F.when(c5 != c12, c12).when(c5 == c12, c5)
+    exempt = (
+        final.isin(*cfg.limit_classes)
+        & (F.col("_low5.rate") <= cfg.limit_5yr)
+        & (F.col("_low12.rate") <= cfg.limit_12mo)
+    )
+    eligible = F.coalesce("eligible", F.lit(False))
+    uncertified = F.coalesce("_uncertified", F.lit(False)) & eligible
+    return joined.select(
         ID,
-        F.col("rolling_avg").alias("avg_5yr"),
-        F.col("rate").alias("rate_5yr"),
-        F.col("band").alias("band_5yr"),
-        F.col("is_outlier").alias("outlier_5yr"),
+        eligible.alias("_eligible"),
+        *[F.when(F.col("has_attributes"), F.col(c)).alias(c) for c in ATTRIBUTES if c != "status"],
+        F.col("_five.rolling_avg").alias("avg_5yr"),
+        F.col("_five.rate").alias("rate_5yr"),
+        F.col("_five.band").alias("band_5yr"),
+        F.col("_five.is_outlier").alias("outlier_5yr"),
+        F.col("_twelve.month").alias("month_12mo"),
+        F.col("_twelve.rolling_avg").alias("avg_12mo"),
+        F.col("_twelve.rate").alias("rate_12mo"),
+        F.col("_twelve.band").alias("band_12mo"),
+        F.col("_twelve.is_outlier").alias("outlier_12mo"),
+        low5.alias("low_5yr"),
+        low12.alias("low_12mo"),
+        (low5 & low12 & ~F.coalesce(exempt, F.lit(False))).alias("low_both"),
+        uncertified.alias("no_certificate"),
+        (eligible & ~F.col("has_report")).alias("no_report"),
+    )
+
+
+def listed_assets(facilities: DataFrame, records: DataFrame) -> DataFrame:
+    """:func:`combine` from the records: eligible assets with a low score or both gaps,
+    one row per name, and the text of their sources."""
+    named = keyed(facilities).select(
+        ID, "facility_name", F.coalesce(F.col("cs_assessment") == "Yes", F.lit(False)).alias("_yes")
+    )
+    gap = F.col("_yes") & F.col("no_certificate") & F.col("no_report")
+    sources = F.array_compact(
+        F.array(
+            F.when(F.max("_gap"), F.lit(SOURCE_REPORTING)), F.when(F.max("low_both"), F.lit(SOURCE_SPILLS))
+        )
+    )
+    flags = records.where("_eligible").select(ID, "low_both", "no_certificate", "no_report")
+    return (
+        named.join(flags, ID)
+        .withColumn("_gap", gap)
+        .where(F.col("_gap") | F.col("low_both"))
+        .groupBy(ID, "facility_name")
+        .agg(F.array_join(sources, " & ").alias("source"))
+        .select(region(F.nullif(F.col(ID), F.lit(NO_ID))).alias("region"), ID, "facility_name", "source")
     )
 
 
 def assemble(
     listed: DataFrame,
     facilities: DataFrame,
-    attributes: DataFrame,
-    bands5: DataFrame,
-    bands12: DataFrame,
-    flags: DataFrame,
+    records: DataFrame,
     orders: DataFrame,
     spills: DataFrame,
+    ordered_ids: DataFrame | None = None,
 ) -> DataFrame:
     """The wide report, one row per listed asset and facility row.
 
-    All parts have one row per asset id except ``facilities``.
+    All parts have one row per asset id except ``facilities``. ``ordered_ids`` are the
+    assets whose order flag is set; without them it is FALSE throughout.
     """
     places = keyed(facilities).select(
         ID,
@@ -118,24 +182,19 @@ def assemble(
         "community_type",
         "federal_facility",
     )
-    year12 = bands12.select(
-        ID,
-        F.col("month").alias("month_12mo"),
-        F.col("rolling_avg").alias("avg_12mo"),
-        F.col("rate").alias("rate_12mo"),
-        F.col("band").alias("band_12mo"),
-        F.col("is_outlier").alias("outlier_12mo"),
-    )
     wide = (
         listed.join(places, ID, "left")
         .withColumn("facility_name", F.coalesce("facility_name", "_name"))
         .drop("_name")
         .distinct()
     )
-    for part in (attributes.drop("status"), latest_5yr(bands5), year12, flags, orders, spills):
+    for part in (records.drop("_eligible"), orders, spills):
         wide = wide.join(part, ID, "left")
-    for c in ("low_5yr", "low_12mo", "low_both", "no_certificate", "no_report", "has_order"):
-        wide = wide.withColumn(c, F.coalesce(c, F.lit(False)))
+    if ordered_ids is None:
+        wide = wide.withColumn("has_order", F.lit(False))
+    else:
+        wide = wide.join(ordered_ids.withColumn("has_order", F.lit(True)), ID, "left")
+        wide = wide.withColumn("has_order", F.coalesce("has_order", F.lit(False)))
     three = (F.col("low_both"), F.col("no_certificate"), F.col("no_report"))
     wide = wide.withColumn("reason", reason(*three)).withColumn("criteria_met", criteria_met(*three))
     return layout(wide, list(RESULT_HEADERS))

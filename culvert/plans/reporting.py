@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from culvert.config import ScreeningConfig
+from culvert.config import FLAG_NO_CERTIFICATE, FLAG_NO_REPORT, ScreeningConfig
+from culvert.functions import region
 from culvert.operators.joins import inner_join, keep_in, keep_not_in
-from culvert.plans.facts import ID, keyed
+from culvert.plans.facts import ID, NO_ID, keyed
 
 FACILITY_KEYS = [ID, "facility_name", "program_category", "cs_assessment"]
 
@@ -88,7 +89,25 @@ def filed_by(reports: DataFrame, end: dt.date) -> DataFrame:
 
 def missing_report(facilities: DataFrame, reports: DataFrame) -> DataFrame:
     """Eligible facility rows whose id never filed a report, whatever the date."""
-    return keep_not_in(eligible_rows(facilities), keyed(reports), ID)
+    missing = keep_not_in(eligible_rows(facilities), keyed(reports), ID)
+    return missing.withColumn("flag_reason", F.lit(FLAG_NO_REPORT))
+
+
+def missing_certificate(facilities: DataFrame, ids: DataFrame) -> DataFrame:
+    """Eligible facility rows of :func:`uncertified_ids`."""
+    missing = eligible_rows(facilities).join(ids, ID, "left_semi")
+    return missing.withColumn("flag_reason", F.lit(FLAG_NO_CERTIFICATE))
+
+
+def with_attributes(gaps: DataFrame, facts: DataFrame) -> DataFrame:
+    """The reporting list: region, facility, size classes, population and length."""
+    sizes = ("population_class", "length_class", "population", "length")
+    known = facts.where("has_attributes").select(ID, *sizes)
+    return (
+        gaps.join(known, ID, "left")
+        .withColumn("region", region(F.nullif(F.col(ID), F.lit(NO_ID))))
+        .select("region", *FACILITY_KEYS, *sizes)
+    )
 
 
 def both_gaps(a: DataFrame, b: DataFrame, on: list[str] = FACILITY_KEYS) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from culvert.config import LOW_PERFORMING, ScreeningConfig
+from culvert.config import LOW_PERFORMING, PERFORMANCE_CATEGORY, ScreeningConfig
 from culvert.functions import band as band_of
-from culvert.functions import scaled_rate
+from culvert.functions import region, scaled_rate
 from culvert.operators.outliers import gesd
 from culvert.operators.panels import densify_global, rolling_mean, trailing_mean_latest
 from culvert.operators.picks import first_row
 from culvert.operators.quantiles import quartiles
-from culvert.plans.facts import ID, NEW
+from culvert.plans.facts import ID, NEW, NO_ID, OLD, keyed
 
 PANEL_KEYS = [ID, "length_class", "length"]
 FIVE_YEARS, TWELVE_MONTHS = "5yr", "12mo"
@@ -39,6 +39,17 @@ def weighted_rollup(rollup: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
+def stage_counts(rollup: DataFrame, facts: DataFrame) -> dict[str, DataFrame]:
+    """Spill rows per asset (``n``) as read and as cleaned, from the folded counts: no
+    feed is read again."""
+    known = rollup.where("in_scope").join(facts.select(ID), ID, "left_semi")
+    out = {}
+    for name, feed in (("new_spills", NEW), ("old_spills", OLD)):
+        for stage, rows in ((f"raw_{name}", rollup), (f"clean_{name}", known)):
+            out[stage] = rows.where(F.col("feed") == feed).select(ID, F.col("rows").alias("n"))
+    return out
+
+
 def yearly_counts(weighted: DataFrame) -> DataFrame:
     """Counted spills of both feeds per asset and year."""
     return (
@@ -161,6 +172,18 @@ def exempt(low: DataFrame, classes, limit_5yr: float, limit_12mo: float) -> Data
     )
 
 
+def described(low: DataFrame, facilities: DataFrame) -> DataFrame:
+    """The low list with region, facility name and criterion, one row per name."""
+    names = keyed(facilities).select(ID, "facility_name").distinct()
+    rest = [c for c in low.columns if c not in (ID, "length_class_final")]
+    return (
+        low.join(names, ID, "left")
+        .withColumn("region", region(F.nullif(F.col(ID), F.lit(NO_ID))))
+        .withColumn("performance_category", F.lit(PERFORMANCE_CATEGORY))
+        .select("region", ID, "facility_name", "performance_category", "length_class_final", *rest)
+    )
+
+
 def not_exempt(low: DataFrame, cfg: ScreeningConfig) -> DataFrame:
     """Low assets that stay listed."""
     out = exempt(low, cfg.limit_classes, cfg.limit_5yr, cfg.limit_12mo)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,29 +61,36 @@ def load(
     return tables
 
 
-def publish(run: Screening, root: str, day: dt.date, fmt: str = "csv") -> dict[str, str]:
+def publish(
+    run: Screening, root: str, day: dt.date, fmt: str = "csv", tables: Mapping[str, DataFrame] | None = None
+) -> dict[str, str]:
     """Writes the report, the assets under enforcement, the summary and the
-    audit of a run; returns their paths."""
+    audit of a run; returns their paths. The audit lists the raw ``tables`` too, the
+    spill feeds from the run's own counts."""
     report = run.report.persist()  # read by the file, the summary and the audit
-    stages = {
+    under = run.under_enforcement.persist()
+    raw = {f"raw_{n}": t.select("wdid") for n, t in (tables or {}).items() if not n.endswith("_spills")}
+    counts = {n: df for n, df in run.stages.items() if "n" in df.columns}
+    stages = raw | {n: df for n, df in run.stages.items() if n not in counts} | {
         "attributes": run.attributes,
         "rates_5yr": run.rates_5yr,
         "rates_12mo": run.rates_12mo,
         "low_both": run.low_both,
         "reporting_gaps": run.reporting_gaps,
         "active_orders": run.active_orders,
-        "under_enforcement": run.under_enforcement,
+        "under_enforcement": under,
         "report": report,
     }
     paths = {
         "report": write_result(report, root, "report", day, RESULT_HEADERS, fmt),
         "under_enforcement": write_result(
-            run.under_enforcement, root, "under_enforcement", day, RESULT_HEADERS, fmt
+            under, root, "under_enforcement", day, RESULT_HEADERS, fmt
         ),
         "summary": write_result(summary(report), root, "summary", day, fmt=fmt),
-        "audit": write_result(audit(stages, "wdid"), root, "audit", day, fmt=fmt),
+        "audit": write_result(audit(stages, "wdid", counts), root, "audit", day, fmt=fmt),
     }
-    report.unpersist()
+    for df in (report, under):
+        df.unpersist()
     return paths
 
 
@@ -110,7 +118,7 @@ def main(argv: list[str] | None = None) -> None:
         multiline=not args.one_line_records,
     )
     run = screen(tables, ScreeningConfig(analysis_start=args.start, analysis_end=args.end))
-    for path in publish(run, args.output, day, args.format).values():
+    for path in publish(run, args.output, day, args.format, tables).values():
         print(path)
     run.release()
 

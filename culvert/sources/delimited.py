@@ -6,7 +6,7 @@ import csv
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +14,7 @@ from culvert.functions import null_tokens
 
 # Never in the data: keeps the reader from making its own NULLs of "NA".
 _NO_TOKEN = "\u0001"
-_PART_BITS = 33
-_SPLIT_BITS, _ROW_BITS = 16, 27
-_FEW_FILES = 50_000
+_MARK = "\ufeff"
 
 
 def normalise_headers(names: Sequence[str], upper: bool = False, mangle: bool = True) -> list[str]:
@@ -41,48 +39,58 @@ def normalise_headers(names: Sequence[str], upper: bool = False, mangle: bool =
     return out
 
 
-def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
+def _header(spark: SparkSession, path: str, sep: str) -> tuple[list[str], bool]:
+    """Header of the feed, and whether the reader can hold all files against it: it
+    can't if names repeat or a byte order mark precedes them. Then all lines are read
+    for the first ones of the files, which must agree."""
+    lines = spark.read.text(path)
+    some = lines.limit(1).collect()
+    if not some:
         raise ValueError(f"no header line in {path}")
-    return next(csv.reader([first[0].value.lstrip("\ufeff")], delimiter=sep))
+    names = _fields(some[0].value, sep)
+    if len({n.lower() for n in names}) == len(names) and not some[0].value.startswith(_MARK):
+        return names, True
+    placed = lines.select(
+        "value",
+        F.input_file_name().alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    first = placed.where("_start = 0").groupBy("_file").agg(F.min_by("value", "_at").alias("value"))
+    bare = F.regexp_replace("value", f"^{_MARK}", "")
+    for r in first.groupBy(bare.alias("value")).agg(F.min("_file").alias("_file")).limit(3).collect():
+        if _fields(r.value, sep) != names:
+            raise ValueError(f"the header of {r._file} differs from the feed's")
+    return names, False
+
+
+def _fields(line: str, sep: str) -> list[str]:
+    return next(csv.reader([line.removeprefix(_MARK)], delimiter=sep))
 
 
-def _with_row_no(df: DataFrame, multiline: bool) -> DataFrame:
-    """``row_no``: position in the feed (files by name, lines in order).
+def _with_row_no(df: DataFrame) -> DataFrame:
+    """``row_no``: position in the feed (files by name, lines in order), from 0.
 
-    A file read whole has its lines in one task, so file rank and task ordinal
-    give the order; a split file adds the rank of the split (at least 4 MB).
+    A split's lines are neighbours in one task, so a line's place in its split is
+    its distance from the split's first one. The lines of earlier splits, from a
+    count per split, come on top; only that list is sorted.
     """
-    spark = df.sparkSession
-    files = sorted(df.inputFiles())
-    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _rank long")
-    ordinal = F.monotonically_increasing_id()
-    if multiline:
-        limit, place = 1 << (63 - _PART_BITS), F.shiftleft("_rank", _PART_BITS)
-        row = ordinal.bitwiseAND(F.lit((1 << _PART_BITS) - 1))
-    else:
-        limit = 1 << (63 - _SPLIT_BITS - _ROW_BITS)
-        split = F.shiftright(F.col("_start"), 22)
-        place = F.shiftleft("_rank", _SPLIT_BITS + _ROW_BITS) + F.shiftleft(split, _ROW_BITS)
-        row = ordinal.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    if len(files) > limit:
-        raise ValueError(f"{len(files)} files exceed the {limit} that row_no can order")
-    unknown = F.raise_error(F.concat(F.lit("file not in the listing: "), "_file")).cast("long")
-    # One row per input file, a list the driver holds anyway; a very long one
-    # is left for Spark to place.
-    if len(files) <= _FEW_FILES:
-        ranks = F.broadcast(ranks)
+    split = ["_file", "_start"]
+    placed = df.select(
+        "*",
+        F.input_file_name().alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    counted = placed.groupBy(*split).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select(
+        *split, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset")
+    )
     return (
-        df.select(
-            "*",
-            F.input_file_name().alias("_file"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            row.alias("_ordinal"),
-        )
-        .join(ranks, "_file", "left")
-        .withColumn("row_no", F.coalesce(place + F.col("_ordinal"), unknown))
-        .drop("_file", "_start", "_ordinal", "_rank")
+        placed.join(offsets, split)
+        .withColumn("row_no", F.col("_at") + F.col("_offset"))
+        .drop(*split, "_at", "_offset")
     )
 
 
@@ -97,25 +105,27 @@ def read_delimited(
 ) -> DataFrame:
     """All columns as text plus ``row_no``.
 
-    Headers come from the first line of the feed and are fixed by position, so
-    repeated names survive. ``multiline`` allows line breaks in quoted fields
+    Headers come from the first line of the files, which must agree, and are fixed
+    by position, so repeated names survive. ``multiline`` allows line breaks in quoted fields
     but reads each file in one task: give large feeds as many files, or turn it
     off for feeds known to have none, and files are split.
     """
-    names = normalise_headers(_header(spark, path, sep), upper, mangle)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    header, checked = _header(spark, path, sep)
+    names = normalise_headers(header, upper, mangle)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (header if checked else names)])
     raw = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("enforceSchema", True)
+        .option("enforceSchema", not checked)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("nullValue", _NO_TOKEN)
         .csv(path)
+        .toDF(*names)
     )
-    ordered = _with_row_no(raw, multiline)
+    ordered = _with_row_no(raw)
     return ordered.select(
         *[null_tokens(F.col(f"`{n}`"), tuple(tokens)).alias(n) for n in names], "row_no"
     )

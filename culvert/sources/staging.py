@@ -87,7 +87,7 @@ STAGED: dict[str, Feed] = {
         "AnnualReports",
         {
             "wdid": _text("WDID"),
-            "report_year": lambda raw: plain_numeric(raw("ANNUAL_REPORT_YEAR")).cast("int"),
+            "report_year": lambda raw: plain_numeric(raw("ANNUAL_REPORT_YEAR")).try_cast("int"),
             "population": _clean("POP_SERVED"),
             "length": _clean_sum("MILES_FORCED_MAINS", "MILES_GRAVITY_SEWERS"),
             "updated": lambda raw: free_date(raw("LAST_UPDATED_ON")),

@@ -23,14 +23,14 @@ def test_null_keys_match_and_blank_does_not(spark):
     assert rows(joins.inner_join(left, right, ["k"])) == [("a", 3, "x"), (None, 1, "n")]
 
 
-@pytest.mark.parametrize("salts", [1, 5])
-def test_salted_joins_equal_plain_ones(spark, salts):
+@pytest.mark.parametrize("spread", [{}, {"spread": True, "hot_rows": 10}, {"spread": True}])
+def test_spread_joins_equal_plain_ones(spark, spread):
     left = spark.createDataFrame([("hot", i) for i in range(50)] + [("b", 99)], "k string, v int")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("c", 3)], "k string, w int")
-    joined = rows(joins.left_join(left, right, "k", salts=salts))
+    joined = rows(joins.left_join(left, right, "k", **spread))
     assert len(joined) == 101 and ("b", 99, None) in joined
-    assert joins.keep_in(left, right, "k", salts=salts).count() == 50
-    assert rows(joins.keep_not_in(left, right, "k", salts=salts)) == [("b", 99)]
+    assert joins.keep_in(left, right, "k", **spread).count() == 50
+    assert rows(joins.keep_not_in(left, right, "k", **spread)) == [("b", 99)]
 
 
 def test_weighted_count_equals_fan_out(spark):

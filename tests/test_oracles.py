@@ -5,11 +5,13 @@ import os
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.oracles import ORACLES
+from workload.registry import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 # Results that may be empty on the smallest data but not on these.
-NEVER_EMPTY = sorted(queries())
+NEVER_EMPTY = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,13 +20,13 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("key", NEVER_EMPTY)
 def test_query_matches_sql(spark, con, key):
-    df = queries()[key](spark, FOLDER)
-    assert differences(df, con, oracle_sql()[key]) == []
+    df = QUERIES[key](spark, FOLDER)
+    assert differences(df, con, ORACLES[key]) == []
     assert df.limit(1).count() == 1
 
 

@@ -4,9 +4,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from culvert.plans import attributes, facts
 from workload import roles
+from workload.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -25,7 +25,7 @@ def no_broadcast(spark):
 
 
 def test_no_python_outside_the_outlier_test(spark):
-    for key, query in queries().items():
+    for key, query in QUERIES.items():
         if key in ("system_report", "summary_stats", "gesd_outliers"):
             continue  # run jobs; their results start at stored tables
         assert "Python" not in plan(query(spark, FOLDER)), key
@@ -43,14 +43,14 @@ def test_no_cross_join_but_the_one_row_bounds(spark, no_broadcast):
         "active_orders",
         "system_attributes",
     ):
-        text = plan(queries()[key](spark, FOLDER))
+        text = plan(QUERIES[key](spark, FOLDER))
         assert "NestedLoop" not in text and "CartesianProduct" not in text, key
-    text = plan(queries()["dense_year_panel"](spark, FOLDER))
+    text = plan(QUERIES["dense_year_panel"](spark, FOLDER))
     assert text.count("BroadcastNestedLoopJoin") == 1
 
 
 def test_picks_are_limited_before_the_shuffle(spark):
-    text = plan(queries()["latest_per_system"](spark, FOLDER))
+    text = plan(QUERIES["latest_per_system"](spark, FOLDER))
     exchange = text.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in text[exchange:] and "Partial" in text[exchange:]
 
@@ -72,17 +72,17 @@ def test_attributes_shuffle_each_input_once(spark, no_broadcast):
 
 
 def test_filters_and_columns_reach_the_files(spark):
-    text = plan(queries()["weighted_fanout_count"](spark, FOLDER))
+    text = plan(QUERIES["weighted_fanout_count"](spark, FOLDER))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text
     assert "o_totalprice" not in re.findall(r"ReadSchema: (\S+)", text)[0]
-    text = plan(queries()["nonreporting_entities"](spark, FOLDER))
+    text = plan(QUERIES["nonreporting_entities"](spark, FOLDER))
     schema = re.findall(r"ReadSchema: (\S+)", text)[0]
     assert "props" not in schema and "value" not in schema
 
 
 def test_windows_never_hold_a_class(spark):
     for key in ("class_quartiles", "band_5yr", "gesd_candidates"):
-        text = plan(queries()[key](spark, FOLDER))
+        text = plan(QUERIES[key](spark, FOLDER))
         for partition in re.findall(r"Window \[.*?windowspecdefinition\((\w+)#", text):
             # The quantile window sees bracket points only, not rows.
             assert partition in ("wdid", "_g"), partition

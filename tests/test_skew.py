@@ -4,7 +4,8 @@ import duckdb
 import pytest
 from compare import TABLES, connect, differences
 
-from __spark_entry__ import oracle_sql, queries
+from workload.oracles import ORACLES
+from workload.registry import QUERIES
 
 SOURCE = "/root/testdata/sf0.001"
 HOT = {
@@ -26,6 +27,10 @@ def folder(tmp_path_factory):
 @pytest.mark.parametrize(
     "key",
     [
+        "clean_spills_new",
+        "clean_spills_old",
+        "active_orders",
+        "under_enforcement",
         "fanout_left_join",
         "weighted_fanout_count",
         "annual_counts",
@@ -43,7 +48,7 @@ def folder(tmp_path_factory):
     ],
 )
 def test_hot_keys_keep_results_whole(spark, folder, key):
-    assert differences(queries()[key](spark, folder), connect(folder), oracle_sql()[key]) == []
+    assert differences(QUERIES[key](spark, folder), connect(folder), ORACLES[key]) == []
 
 
 def test_hot_key_leaves_map_tasks_as_few_rows(spark, folder):

@@ -354,7 +354,7 @@ SELECT wdid, wdid IN (SELECT wdid FROM ns) AS in_new, wdid IN (SELECT wdid FROM
 FROM fac"""
 
 _CLASS_RANGE = """
-SELECT {cls} AS {name}, count(*) AS n, min({c}) AS lo, max({c}) AS hi FROM ar GROUP BY 1"""
+SELECT {cls} AS {name}, count(*) AS n, min({c}) AS lo, max({c}) AS hi FROM attrs GROUP BY 1"""
 _POPULATION_CLASS = """CASE WHEN population IS NULL THEN 'Not Available'
   WHEN population > 100000 THEN 'Large' WHEN population > 10000 THEN 'Medium'
   WHEN population >= 2500 THEN 'Small' ELSE 'Micro' END"""
@@ -386,6 +386,21 @@ SELECT event_id, user_id, event_type, value FROM events
 WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",
         "value",
     ),
+    "read_comma_feed": (
+        """
+SELECT o_orderkey, o_orderpriority AS status,
+  CASE o_orderkey % 3 WHEN 0 THEN 'say "' || o_orderpriority || '", or' || chr(9) || o_orderkey WHEN 2 THEN 'a,b;c' END AS note,
+  CAST(o_orderdate AS DATE) AS day, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_no FROM orders""",
+        "",
+    ),
+    "read_tab_feed": (
+        """
+SELECT o_orderkey, o_orderpriority AS status,
+  CASE o_orderkey % 3 WHEN 0 THEN 'say "' || o_orderpriority || '",' || chr(10) || 'or' || chr(9) || o_orderkey WHEN 2 THEN 'a,b;c' END AS note,
+  CAST(o_orderdate AS DATE) AS day, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_no FROM orders""",
+        "",
+    ),
+    "snapshot_round_trip": ("SELECT event_id, user_id, event_type, value FROM events", ""),
     "size_class_lookup": (
         f"""
 SELECT wdid, length_class, CASE length_class WHEN 'Large' THEN '>= 500 miles'
@@ -421,7 +436,7 @@ FROM orders""",
     "parse_month_label": (
         """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS month,
-  CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderdate AS DATE) END AS updated FROM orders""",
+  CAST(o_orderdate AS DATE) AS updated FROM orders""",
         "",
     ),
     "region_code": (
@@ -457,7 +472,8 @@ SELECT wdid, CASE WHEN length_a IS NULL THEN length_b WHEN length_b IS NULL THEN
 SELECT wdid, length, CASE WHEN length IS NULL OR length = 0 THEN NULL
   WHEN length < 5 THEN n / 12 / (length / 5) WHEN length < 25 THEN n / 12 / (length / 25)
   ELSE n / 12 / (length / 100) END AS rate
-FROM (SELECT wdid, CAST(count(*) AS DOUBLE) AS n FROM ns GROUP BY wdid) LEFT JOIN qn USING (wdid)""",
+FROM (SELECT wdid, CAST(count(*) AS DOUBLE) AS n FROM (SELECT wdid FROM ns UNION ALL SELECT wdid FROM os)
+      GROUP BY wdid) LEFT JOIN qn USING (wdid)""",
         "length rate",
     ),
     "exclude_pattern": (
@@ -492,29 +508,34 @@ FROM members""",
     "clean_spills_old": ("SELECT * FROM clean_old", ""),
     "fanout_left_join": (
         """
-SELECT s.row_no, s.wdid, s.spill_date, r.report_year, r.row_no AS report_row
-FROM ns s LEFT JOIN ar r ON s.wdid = r.wdid""",
-        "",
+SELECT 0 AS feed, s.row_no, s.wdid, s.spill_date, r.length, r.row_no AS right_row
+FROM ns s LEFT JOIN ar r ON s.wdid = r.wdid
+UNION ALL SELECT 1, s.row_no, s.wdid, s.spill_date, r.length, r.row_no
+FROM os s LEFT JOIN qn r ON s.wdid = r.wdid""",
+        "length",
     ),
     "weighted_fanout_count": (
         """
-SELECT s.wdid, CAST(year(s.spill_date) AS INTEGER) AS year, count(*) AS spill_count
-FROM ns s LEFT JOIN ar r ON s.wdid = r.wdid GROUP BY ALL""",
+SELECT 0 AS feed, s.wdid, CAST(year(s.spill_date) AS INTEGER) AS year, count(*) AS spill_count
+FROM ns s LEFT JOIN ar r ON s.wdid = r.wdid GROUP BY ALL
+UNION ALL SELECT 1, s.wdid, CAST(year(s.spill_date) AS INTEGER), count(*)
+FROM os s LEFT JOIN qn r ON s.wdid = r.wdid GROUP BY ALL""",
         "",
     ),
     "semi_join_known": (
         """
-SELECT row_no, wdid, spill_date FROM ns
+SELECT feed, row_no, wdid, spill_date FROM
+  (SELECT 0 AS feed, * FROM ns UNION ALL BY NAME SELECT 1 AS feed, * FROM os)
 WHERE wdid IN (SELECT wdid FROM fac WHERE cs_assessment = 'Yes')""",
         "",
     ),
-    "anti_join_missing_report": ("SELECT * FROM noreport", ""),
+    "anti_join_missing_report": ("SELECT *, 'No annual report' AS flag_reason FROM noreport", ""),
     "full_join_sources": ("SELECT * FROM lengths", "length_a length_b"),
     "attach_attributes": (
         """
 SELECT c.*, a.length, a.length_class, a.population_class
 FROM (SELECT wdid, CAST(year(spill_date) AS INTEGER) AS year, count(*) AS spill_count
-      FROM ns GROUP BY ALL) c LEFT JOIN attrs a USING (wdid)""",
+      FROM (SELECT * FROM ns UNION ALL BY NAME SELECT * FROM os) GROUP BY ALL) c LEFT JOIN attrs a USING (wdid)""",
         "length",
     ),
     "union_feeds": (
@@ -569,6 +590,12 @@ FROM (SELECT d.wdid, d.year, d.spill_count, r.length AS v FROM dense_years d LEF
     "band_5yr": ("SELECT * FROM bands5", "length rolling_avg rate"),
     "band_12mo": ("SELECT * FROM bands12", "length rolling_avg rate"),
     "low_in_both_windows": ("SELECT * FROM low_pairs", "rate_5yr rate_12mo"),
+    "low_performer_list": (
+        """
+SELECT substr(l.wdid, 1, 1) AS region, l.*, f.facility_name, 'Length' AS performance_category
+FROM low_listed l LEFT JOIN (SELECT DISTINCT wdid, facility_name FROM fac) f USING (wdid)""",
+        "rate_5yr rate_12mo",
+    ),
     "absolute_limit_exemption": ("SELECT * FROM exempted", "rate_5yr rate_12mo"),
     "gesd_candidates": (
         """
@@ -588,8 +615,13 @@ FROM (SELECT *, avg(rate) OVER (PARTITION BY length_class) AS mean
     ),
     "gesd_outliers": ("SELECT * FROM g5_marks", ""),
     "nonreporting_entities": ("SELECT * FROM silent", ""),
-    "reporting_gap_certificates": ("SELECT * FROM certs", ""),
-    "reporting_gap_both": ("SELECT * FROM gaps", ""),
+    "reporting_gap_certificates": ("SELECT *, 'No spills reported' AS flag_reason FROM certs", ""),
+    "reporting_gap_both": (
+        """
+SELECT substr(wdid, 1, 1) AS region, g.*, a.population_class, a.length_class, a.population, a.length
+FROM gaps g LEFT JOIN attrs a USING (wdid)""",
+        "population length",
+    ),
     "reports_filed_by": (
         """
 SELECT wdid, row_no, updated FROM ar WHERE updated IS NULL OR updated <= DATE '2001-01-01'""",

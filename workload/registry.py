@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from culvert import config as k
 from culvert import functions as fn
+from culvert.operators.cut import new_table, written
 from culvert.operators import joins, layout, outliers, panels, picks, quantiles
 from culvert.plans import enforcement, facts, job, report, reporting, spills
 from culvert.plans.attributes import attributes_of, system_attributes
-from culvert.sources import STAGED, as_of, stage
+from culvert.sources import STAGED, as_of, read_delimited, read_snapshot, stage, write_snapshot
 from workload import roles
 from workload.roles import CONFIG, read
 
@@ -33,8 +34,13 @@ def query(f: Query) -> Query:
     return f
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Stored, not cached: a query leaves nothing in the executors."""
+    return written(df, "kept")
+
+
 def _base(spark: SparkSession, sf: str) -> job.Base:
-    return job.base(roles.tables(spark, sf), CONFIG, job.Keeper())
+    return job.base(roles.tables(spark, sf), CONFIG, _kept)
 
 
 def _weighted(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,11 +48,11 @@ def _weighted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rates_5yr(spark: SparkSession, sf: str) -> DataFrame:
-    return job.Keeper()(job.baseline_rates_5yr(_base(spark, sf), CONFIG))
+    return _kept(job.baseline_rates_5yr(_base(spark, sf), CONFIG))
 
 
 def _rates_12mo(spark: SparkSession, sf: str) -> DataFrame:
-    return job.Keeper()(job.baseline_rates_12mo(_base(spark, sf), CONFIG))
+    return _kept(job.baseline_rates_12mo(_base(spark, sf), CONFIG))
 
 
 def _first_lengths(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,6 +64,14 @@ def _first_lengths(spark: SparkSession, sf: str) -> DataFrame:
     return joins.full_join(a, b, "wdid")
 
 
+def _feeds(spark: SparkSession, sf: str) -> list[tuple[DataFrame, DataFrame]]:
+    """Both spill feeds, each with the table that multiplies its rows."""
+    return [
+        (roles.new_spills(spark, sf), roles.annual_reports(spark, sf)),
+        (roles.old_spills(spark, sf), roles.questionnaire(spark, sf)),
+    ]
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -113,6 +127,57 @@ def snapshot_as_of(spark, sf):
     return as_of(dated, dt.date(2024, 1, 15)).select("event_id", "user_id", "event_type", "value")
 
 
+def _wordy(spark, sf):
+    """Orders as text with quotes, separators and line breaks, in order of their key."""
+    key = F.col("o_orderkey")
+    note = F.when(key % 3 == 0, F.concat(F.lit('say "'), F.col("o_orderpriority"), F.lit('", or\t'), key.cast("string")))
+    return (
+        read(spark, sf, "orders")
+        .select(
+            key.cast("string").alias("ID"),
+            F.col("o_orderpriority").alias("STATUS"),
+            note.otherwise(F.when(key % 3 == 1, "NA").otherwise("a,b;c")).alias("NOTE (ANY)"),
+            F.date_format("o_orderdate", "M/d/yyyy").alias("DAY"),
+        )
+        .repartitionByRange(4, F.col("ID").cast("long"))
+        .sortWithinPartitions(F.col("ID").cast("long"))
+    )
+
+
+def _through_files(spark, sf, sep, multiline, rows):
+    path = new_table(spark, "feed")
+    rows.write.option("header", True).option("sep", sep).option("escape", '"').option("emptyValue", "").csv(path)
+    text = read_delimited(spark, path, sep=sep, tokens=("NA",), multiline=multiline)
+    return text.select(
+        F.col("ID").cast("long").alias("o_orderkey"),
+        F.col("STATUS").alias("status"),
+        F.col("`NOTE..ANY.`").alias("note"),
+        fn.lenient_date(F.col("DAY")).alias("day"),
+        "row_no",
+    )
+
+
+@query
+def read_comma_feed(spark, sf):
+    return _through_files(spark, sf, ",", False, _wordy(spark, sf))
+
+
+@query
+def read_tab_feed(spark, sf):
+    broken = F.regexp_replace("NOTE (ANY)", ", or", ",\nor")
+    return _through_files(spark, sf, "\t", True, _wordy(spark, sf).withColumn("NOTE (ANY)", broken))
+
+
+@query
+def snapshot_round_trip(spark, sf):
+    root, day = new_table(spark, "snapshots"), dt.date(2024, 1, 15)
+    events = read(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    write_snapshot(events.where("event_type = 'error'"), root, "events", dt.date(2024, 1, 14))
+    write_snapshot(events.where("event_id < 0"), root, "events", day)
+    write_snapshot(events, root, "events", day)
+    return read_snapshot(spark, root, "events", day)
+
+
 @query
 def size_class_lookup(spark, sf):
     classed = roles.questionnaire(spark, sf).select(
@@ -194,7 +259,7 @@ def parse_month_label(spark, sf):
         .select(
             "o_orderkey",
             fn.month_label(F.col("raw")).alias("month"),
-            F.when(F.col("o_orderstatus") == "P", fn.free_date(F.col("raw_free"))).alias("updated"),
+            fn.free_date(F.col("raw_free")).alias("updated"),
         )
     )
 
@@ -207,8 +272,7 @@ def region_code(spark, sf):
 
 @query
 def population_class(spark, sf):
-    cls = fn.classify(F.col("population"), k.POPULATION_CUTS).alias("population_class")
-    rows = roles.annual_reports(spark, sf).select("wdid", "population", cls)
+    rows = system_attributes(roles.tables(spark, sf), CONFIG)
     return rows.groupBy("population_class").agg(
         F.count("*").alias("n"), F.min("population").alias("lo"), F.max("population").alias("hi")
     )
@@ -216,8 +280,7 @@ def population_class(spark, sf):
 
 @query
 def length_class(spark, sf):
-    cls = fn.classify(F.col("length"), k.LENGTH_CUTS).alias("length_class")
-    rows = roles.annual_reports(spark, sf).select("wdid", "length", cls)
+    rows = system_attributes(roles.tables(spark, sf), CONFIG)
     return rows.groupBy("length_class").agg(
         F.count("*").alias("n"), F.min("length").alias("lo"), F.max("length").alias("hi")
     )
@@ -245,7 +308,8 @@ def reconcile_length_supplement(spark, sf):
 
 @query
 def scaled_rate(spark, sf):
-    counts = picks.count_by(roles.new_spills(spark, sf), ["wdid"])
+    both = roles.new_spills(spark, sf).unionByName(roles.old_spills(spark, sf))
+    counts = picks.count_by(both, ["wdid"])
     joined = joins.attach(counts, roles.questionnaire(spark, sf), "wdid", ["length"])
     rate = fn.scaled_rate(F.col("spill_count") / 12, F.col("length"))
     return joined.select("wdid", "length", rate.alias("rate"))
@@ -316,27 +380,34 @@ def clean_spills_old(spark, sf):
 
 @query
 def fanout_left_join(spark, sf):
-    spilled = roles.new_spills(spark, sf).select("row_no", "wdid", "spill_date")
-    reports = roles.annual_reports(spark, sf).select(
-        "wdid", "report_year", F.col("row_no").alias("report_row")
-    )
-    return joins.left_join(spilled, reports, "wdid", salts=4)
+    feeds = [
+        joins.left_join(
+            spilled.select("row_no", "wdid", "spill_date"),
+            right.select("wdid", "length", F.col("row_no").alias("right_row")),
+            "wdid",
+            spread=True,
+        )
+        for spilled, right in _feeds(spark, sf)
+    ]
+    return picks.union_feeds(feeds, "feed")
 
 
 @query
 def weighted_fanout_count(spark, sf):
-    spilled = roles.new_spills(spark, sf).withColumn("year", F.year("spill_date"))
-    return joins.fanout_count(
-        spilled, roles.annual_reports(spark, sf), "wdid", ["wdid", "year"], "spill_count"
-    )
+    feeds = [
+        joins.fanout_count(
+            spilled.withColumn("year", F.year("spill_date")), right, "wdid", ["wdid", "year"], "spill_count"
+        )
+        for spilled, right in _feeds(spark, sf)
+    ]
+    return picks.union_feeds(feeds, "feed")
 
 
 @query
 def semi_join_known(spark, sf):
     eligible = roles.facilities(spark, sf).where("cs_assessment = 'Yes'")
-    return joins.keep_in(roles.new_spills(spark, sf), eligible, "wdid", salts=4).select(
-        "row_no", "wdid", "spill_date"
-    )
+    feeds = [joins.keep_in(spilled, eligible, "wdid", spread=True) for spilled, _ in _feeds(spark, sf)]
+    return picks.union_feeds(feeds, "feed").select("feed", "row_no", "wdid", "spill_date")
 
 
 @query
@@ -353,9 +424,8 @@ def full_join_sources(spark, sf):
 @query
 def attach_attributes(spark, sf):
     t = roles.tables(spark, sf)
-    counts = picks.count_by(
-        t["new_spills"].withColumn("year", F.year("spill_date")), ["wdid", "year"]
-    )
+    both = t["new_spills"].unionByName(t["old_spills"])
+    counts = picks.count_by(both.withColumn("year", F.year("spill_date")), ["wdid", "year"])
     attrs = system_attributes(t, CONFIG)
     return joins.attach(counts, attrs, "wdid", ["length", "length_class", "population_class"])
 
@@ -479,8 +549,8 @@ def band_12mo(spark, sf):
     return spills.banded(_rates_12mo(spark, sf))
 
 
-def _low_both(spark, sf):
-    rows = job.bands(_base(spark, sf), CONFIG, job.Keeper(), outliers=False)
+def _low_both(b):
+    rows = job.bands(b, CONFIG, _kept, outliers=False)
     return spills.low_both(
         spills.of_window(rows, spills.FIVE_YEARS), spills.of_window(rows, spills.TWELVE_MONTHS)
     )
@@ -488,13 +558,19 @@ def _low_both(spark, sf):
 
 @query
 def low_in_both_windows(spark, sf):
-    return _low_both(spark, sf)
+    return _low_both(_base(spark, sf))
+
+
+@query
+def low_performer_list(spark, sf):
+    low = spills.not_exempt(_low_both(_base(spark, sf)), CONFIG)
+    return spills.described(low, roles.facilities(spark, sf))
 
 
 @query
 def absolute_limit_exemption(spark, sf):
     return spills.exempt(
-        _low_both(spark, sf), CONFIG.limit_classes, CONFIG.limit_5yr, CONFIG.limit_12mo
+        _low_both(_base(spark, sf)), CONFIG.limit_classes, CONFIG.limit_5yr, CONFIG.limit_12mo
     )
 
 
@@ -533,7 +609,7 @@ def _certificates(spark, sf):
     t = roles.tables(spark, sf)
     known = facts.systems(t["facilities"])
     ids = reporting.uncertified_ids(reporting.month_facts(t["monthly_counts"], CONFIG), known)
-    return reporting.eligible_rows(t["facilities"]).join(ids, "wdid", "left_semi")
+    return reporting.missing_certificate(t["facilities"], ids)
 
 
 @query
@@ -541,9 +617,13 @@ def reporting_gap_certificates(spark, sf):
     return _certificates(spark, sf)
 
 
+def _gaps(spark, sf):
+    return reporting.both_gaps(anti_join_missing_report(spark, sf), _certificates(spark, sf))
+
+
 @query
 def reporting_gap_both(spark, sf):
-    return reporting.both_gaps(anti_join_missing_report(spark, sf), _certificates(spark, sf))
+    return reporting.with_attributes(_gaps(spark, sf), _base(spark, sf).facts)
 
 
 @query
@@ -580,20 +660,22 @@ def system_attributes_query(spark, sf):
 QUERIES["system_attributes"] = QUERIES.pop("system_attributes_query")
 
 
+def _listed(spark, sf, b):
+    t = roles.tables(spark, sf)
+    low = spills.not_exempt(_low_both(b), CONFIG)
+    return report.combine(low, _gaps(spark, sf), t["facilities"], facts.systems(t["facilities"]))
+
+
 @query
 def inadequacy_list(spark, sf):
-    t = roles.tables(spark, sf)
-    low = spills.not_exempt(_low_both(spark, sf), CONFIG)
-    gaps = reporting_gap_both(spark, sf)
-    return report.combine(low, gaps, t["facilities"], facts.systems(t["facilities"]))
+    return _listed(spark, sf, _base(spark, sf))
 
 
 @query
 def under_enforcement(spark, sf):
-    t = roles.tables(spark, sf)
-    attributes = attributes_of(_base(spark, sf).facts)
+    b = _base(spark, sf)
     return enforcement.under_enforcement(
-        active_orders(spark, sf), attributes, inadequacy_list(spark, sf)
+        active_orders(spark, sf), attributes_of(b.facts), _listed(spark, sf, b)
     )
 
 
