@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 #: Places of a vector, n-gram lengths, and centroids per language.
 PLACES, LENGTHS, CENTROIDS = 4096, (1, 2, 3), 4
-#: Labelled texts used for fitting, per language and in all.
-PER_LANGUAGE, IN_ALL = 400, 8_000
+#: Labelled texts used for fitting, per language and in all, and languages learned, the
+#: most frequent ones.
+PER_LANGUAGE, IN_ALL, LANGUAGES = 400, 8_000, 1_000
 #: A text is rejected if its cosine is below this quantile of its language's own texts, less a margin.
 REJECT_QUANTILE, REJECT_MARGIN = 0.01, 0.05
 #: Characters looked at together; a longer text is counted in pieces that overlap.
@@ -86,10 +87,10 @@ class Model:
 def _sample(labelled: DataFrame, id_col: str, lang_col: str) -> DataFrame:
     """At most ``PER_LANGUAGE`` rows per language and ``IN_ALL`` rows in all, by the hash
     of their ids: first by a threshold that follows from the counts, then by rank."""
-    sizes = labelled.groupBy(lang_col).agg(F.count("*").alias("_n"))
+    sizes = labelled.groupBy(lang_col).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), lang_col).limit(LANGUAGES)
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit("fit"))
     share = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
-    few = labelled.join(sizes, lang_col).where(share <= 2.0 * PER_LANGUAGE / F.col("_n") + 1e-9)
+    few = labelled.join(F.broadcast(sizes), lang_col).where(share <= 2.0 * PER_LANGUAGE / F.col("_n") + 1e-9)
     ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy(lang_col).orderBy(order, id_col)))
     return ranked.where(F.col("_rank") <= PER_LANGUAGE)
 
@@ -107,7 +108,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             rows = [(l.as_py(), counts(t.as_py()).astype(np.uint32).tobytes()) for l, t in zip(batch.column(0), batch.column(1), strict=True) if has_letter(t.as_py())]
             yield pa.RecordBatch.from_arrays([pa.array([l for l, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.binary())], names=["lang", "found"])
 
-    texts = usable.join(chosen, [id_col, lang_col], "left_semi").select(F.col(lang_col).cast("string"), F.col(text_col))
+    # IN_ALL rows at most, so the texts stay where they are.
+    texts = usable.join(F.broadcast(chosen), [id_col, lang_col], "left_semi").select(F.col(lang_col).cast("string"), F.col(text_col))
     rows = texts.mapInArrow(run, "lang string, found binary").collect()
     rows = sorted((r.lang, bytes(r.found)) for r in rows)
     names = sorted({l for l, _ in rows})
