@@ -1,10 +1,9 @@
 """The screening job, composed from operators.
 
 Shape of the plans: every feed is folded to counts by map-side aggregation
-before anything is shuffled, then laid out by asset id once. All later steps
-(attributes, panels, windows, joins, flags) work on that layout and need no
-further exchange of asset rows; thresholds per size class come back as a
-handful of rows.
+before anything is shuffled, then laid out by asset id once. Attributes, panels
+and windows work on that layout; the report joins one record per asset. Only
+thresholds per size class and other small sides are exchanged in between.
 """
 
 from culvert.plans.attributes import system_attributes
