@@ -27,9 +27,9 @@ from culvert.llm.frames import slices, texts
 # The pattern that parts texts into words, as published with the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Distinct words whose encodings a task keeps from one batch to the next.
+#: Distinct words whose encodings a worker keeps from one batch to the next.
 KEEP = 400_000
-#: Pairs of tokens of which a task remembers whether one may follow the other.
+#: Pairs of tokens of which a worker remembers whether one may follow the other.
 PAIRS = 1_000_000
 
 #: Rank of a pair that is never merged.
@@ -43,6 +43,13 @@ def _byte_marks() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+_BLANKS = regex.compile(r"\s\s|\s\Z")
+
+
+class _Head(str):
+    """What stands before the first blank of a text."""
+
+
 class Codec:
     """A vocabulary file of the tokenizers library with byte-level BPE."""
 
@@ -58,10 +65,21 @@ class Codec:
         self.token |= {i: t.encode() for t, i in self.special.items()}
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.words = regex.compile(PATTERN)
-        #: Ids of tokens; -1 for what only begins one.
-        self.begins = {t[:k]: -1 for t in self.ids for k in range(1, len(t))} | self.ids
+        #: Encodings, as 32-bit numbers, of what stands between two blanks (the blank
+        #: before it included), the latest ones and those before them.
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.size = {i: len(t) for i, t in self.token.items()}
-        self.whole: set[int] = set()
+        spelled = [self.token.get(i, b"") for i in range(1 + max(self.token))]
+        self.lengths = np.array([len(t) for t in spelled])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
+        #: Beginnings of tokens by number, 0 the empty one; the longest of them that ends
+        #: a prefix is followed from byte to byte, and lists the tokens that end there.
+        self.names = [b"", *sorted({t[:k] for t in self.ids for k in range(1, len(t) + 1)})]
+        self.number = {t: k for k, t in enumerate(self.names)}
+        self.goto: dict[int, int] = {}
+        self.endings: dict[int, tuple[tuple[int, int], ...]] = {}
         self.pairs: dict[int, bool] = {}
         self.halves = functools.cache(self._halves)
         self.edge = functools.cache(self._edge)
@@ -105,36 +123,52 @@ class Codec:
             else:
                 y, y_next = next(right)
 
+    def _step(self, key: int) -> int:
+        """Where a byte leads from a beginning of tokens."""
+        name = self.names[key >> 8] + bytes([key & 255])
+        while name not in self.number:
+            name = name[1:]
+        node = self.goto[key] = self.number[name]
+        if node not in self.endings:
+            tails = (name[k:] for k in range(len(name)))
+            self.endings[node] = tuple((self.ids[t], len(t)) for t in tails if t in self.ids and self._whole(t))
+        return node
+
+    def _whole(self, token: bytes) -> bool:
+        """Whether a token's own bytes are encoded as the token."""
+        return len(token) == 1 or self.halves(token) is not None
+
     def encode_words(self, words: set[bytes]) -> dict[bytes, list[int]]:
         """Token ids of distinct words."""
-        ids, size, whole, pairs = self.begins, self.size, self.whole, self.pairs
+        goto, endings, size, pairs = self.goto, self.endings, self.size, self.pairs
         out, before = {}, b""
-        states, reach = [0], [0]  # per prefix: its last token, and its longest end that begins a token
+        states, nodes = [-1], [0]  # per prefix: its last token, and its longest end that begins one
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del states[shared + 1 :], reach[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                start, longest = end - reach[-1] - 1, 0
-                while True:
-                    if start == end:
-                        raise ValueError(f"the vocabulary can't encode {word[:end]!r}")
-                    i = ids.get(word[start:end])
-                    if i is not None:
-                        longest = longest or end - start
-                        if i >= 0 and (i in whole or self._check(i)):
-                            if not start:
-                                break
-                            fits = pairs.get(key := states[start] << 32 | i)
-                            if fits is None:
-                                fits = pairs[key] = self.follows(self.token[states[start]], word[start:end])
-                            if fits:
-                                break
-                    start += 1
+            del states[shared + 1 :], nodes[shared + 1 :]
+            node, end = nodes[-1], shared
+            for byte in word[shared:]:
+                end += 1
+                key = node << 8 | byte
+                node = goto.get(key, -1)
+                if node < 0:
+                    node = self._step(key)
+                for i, length in endings[node]:
+                    last = states[end - length]
+                    if last < 0:
+                        break
+                    fits = pairs.get(last << 32 | i)
+                    if fits is None:
+                        fits = pairs[last << 32 | i] = self.follows(self.token[last], self.token[i])
+                    if fits:
+                        break
+                else:
+                    raise ValueError(f"the vocabulary can't encode {word[:end]!r}")
                 states.append(i)
-                reach.append(longest)
-            end, found = len(word), []
+                nodes.append(node)
+            found = []
             while end:
                 found.append(i := states[end])
                 end -= size[i]
@@ -144,14 +178,6 @@ class Codec:
             pairs.clear()
         return out
 
-    def _check(self, i: int) -> bool:
-        """Whether a token's own bytes are encoded as the token; seen once, it is kept."""
-        token = self.token[i]
-        if len(token) == 1 or self.halves(token) is not None:
-            self.whole.add(i)
-            return True
-        return False
-
     def pieces(self, text: str) -> list[str | int]:
         """Words of a text in order, and the ids of special tokens that it spells out."""
         if not self.split or not any(s in text for s in self.special):
@@ -163,8 +189,58 @@ class Codec:
             at = m.end()
         return out + self.words.findall(text[at:])
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Token ids of each text as 32-bit numbers.
+
+        A blank between two other characters always begins a word, so what stands
+        between such blanks is encoded on its own, and once for all texts if it is
+        seen again. Texts with white space in a row are parted by the pattern alone.
+        """
+        if len(self.known) > KEEP:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        rows: list[list] = []
+        asked: set[str] = set()
+        for text in texts:
+            text = text or ""
+            if any(t in text for t in self.special) or _BLANKS.search(text) or text[:1] == " ":
+                rows.append(self.pieces(text))
+                asked.update(p for p in rows[-1] if isinstance(p, str))
+                continue
+            head, *parts = text.split(" ")
+            found: list = list(map(known.get, parts))
+            if None in found:
+                for k, f in enumerate(found):
+                    if f is None:
+                        part = parts[k]
+                        f = before.get(part)
+                        if f is None:
+                            found[k] = part
+                            asked.add(" " + part)
+                        else:
+                            found[k] = known[part] = f
+            rows.append([_Head(head), *found])
+            asked.add(head)
+        pieces = {chunk: self.words.findall(chunk) for chunk in asked}
+        ids = self.encode_words({p.encode() for p in set(itertools.chain.from_iterable(pieces.values()))})
+        packed = {w.decode(): np.array(i, np.int32).tobytes() for w, i in ids.items()}
+        new = {chunk: b"".join(map(packed.__getitem__, parts)) for chunk, parts in pieces.items()}
+        known.update((chunk[1:], code) for chunk, code in new.items() if chunk[:1] == " " and not _BLANKS.search(chunk))
+        out = []
+        for row in rows:
+            whole = row and isinstance(row[0], _Head)
+            code = [f if isinstance(f, bytes) else np.int32(f).tobytes() if isinstance(f, int) else new[f if not whole or f is row[0] else " " + f] for f in row]
+            out.append(b"".join(code))
+        return out
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Texts of lists of ids that lie one behind the other."""
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        index = np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        spelled = self.bytes[index].tobytes()
+        borders = np.concatenate([[0], ends])[offsets].tolist()
+        return [spelled[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise(borders)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -187,21 +263,15 @@ def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     names = [c for c in inputs if c != "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, known = _codec(file.value), {}
+        codec = _codec(file.value)
         for whole in batches:
             for lo, hi in slices(texts(whole.column(at))[0]):
                 batch = whole.slice(lo, hi - lo)
-                pieces = [codec.pieces(value or "") for value in batch.column(at).to_pylist()]
-                new = {p for row in pieces for p in row if isinstance(p, str)} - known.keys()
-                known |= {w.decode(): i for w, i in codec.encode_words({p.encode() for p in new}).items()}
-                rows = [[known[p] if isinstance(p, str) else (p,) for p in row] for row in pieces]
-                tokens = np.fromiter(itertools.chain.from_iterable(itertools.chain.from_iterable(rows)), np.int32)
-                lengths = [sum(map(len, row)) for row in rows]
-                found = pa.ListArray.from_arrays(pa.array([0, *itertools.accumulate(lengths)], pa.int32()), pa.array(tokens))
+                rows = codec.encode(batch.column(at).to_pylist())
+                offsets = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
                 columns = {c: batch.column(k) for k, c in enumerate(inputs)}
                 yield pa.RecordBatch.from_arrays([*(columns[n] for n in names), found], names=[*names, "tokens"])
-                if len(known) > KEEP:
-                    known.clear()
 
     schema = T.StructType([docs.schema[n] for n in names] + [T.StructField("tokens", T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(run, schema)
@@ -218,12 +288,18 @@ def decode(tokens: DataFrame, path: str, tokens_col: str = "tokens", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(file.value)
-        for batch in batches:
-            found = [codec.decode(ids.as_py() or ()).decode("utf-8", "replace") for ids in batch.column(at)]
-            columns = {c: batch.column(k) for k, c in enumerate(inputs)}
-            yield pa.RecordBatch.from_arrays(
-                [*(columns[n] for n in names), pa.array(found, pa.string())], names=[*names, text_col]
-            )
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                batch = whole.slice(lo, 256)
+                lists = batch.column(at)
+                lists = lists.fill_null([]) if lists.null_count else lists
+                offsets = lists.offsets.to_numpy()
+                ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+                found = codec.decode(ids, offsets - offsets[0])
+                columns = {c: batch.column(k) for k, c in enumerate(inputs)}
+                yield pa.RecordBatch.from_arrays(
+                    [*(columns[n] for n in names), pa.array(found, pa.string())], names=[*names, text_col]
+                )
 
     schema = T.StructType([tokens.schema[n] for n in names] + [T.StructField(text_col, T.StringType())])
     return tokens.mapInArrow(run, schema)
