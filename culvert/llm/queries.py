@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from culvert.llm import bpe, chat, decontaminate, html_extract, langid, lines, quality, secrets, simhash, substrings
+from culvert.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES", "table", "tokenizer_path"]
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -128,5 +131,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_simhash, op2_langid, op3_quality, op4_bpe, op5_html, op6_secrets, op7_decontaminate, op8_substrings, op9_chat, op10_lines,
     )
 }
-
-ORACLES: dict[str, str] = {}
