@@ -1,8 +1,9 @@
 """Substring deduplication with prefix-partitioned suffix trees over words.
 
 A suffix begins at each word; only its first ``WINDOW`` words matter, so the trees
-are cut at that depth. A suffix is held as four symbols, hashes of its next four
-blocks of five words, 128 bits in all. The work has four steps.
+are cut at that depth. A suffix is held as four symbols, 32-bit hashes of its next
+four blocks of five words, and a 64-bit hash of all 20 words: windows that share three
+of four blocks still differ in it. The work has four steps.
 
 1. Every window's smallest hash of ``GRAM`` words within it is its anchor: equal
    windows have equal anchors. Anchors are dealt by value, and only suffixes whose
@@ -11,8 +12,8 @@ blocks of five words, 128 bits in all. The work has four steps.
 2. The number of suffixes per prefix is counted over all texts. Frequent prefixes
    are extended by a block of words until a group fits into a task's memory.
 3. Suffixes are dealt by prefix. Each task sorts its group, which lists the leaves
-   of the group's subtree in order; equal neighbours down to the last symbol share an
-   internal node ``WINDOW`` words deep. Its first leaf stays, the others are repeats.
+   of the group's subtree in order; neighbours equal in all symbols and in the hash of
+   all their words share an internal node ``WINDOW`` words deep. Its first leaf stays, the others are repeats.
 4. Repeats go back to their texts, and the words that they cover are removed.
 
 A task sends one suffix of those that are equal within it, the first one: the others
@@ -74,8 +75,9 @@ def _sliding(pick: Callable, x: np.ndarray, span: int, pad: np.uint64) -> np.nda
     return x
 
 
-def _symbols(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The four symbols of each word's suffix, two in each of two numbers."""
+def _symbols(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The four symbols of each word's suffix, two in each of two numbers, and the hash
+    of all its words. Windows that differ in one word's hash always differ in that."""
     top = grams(words.hashes, BLOCK, 4) >> np.uint64(32)
 
     def symbol(k: int) -> np.ndarray:
@@ -83,7 +85,7 @@ def _symbols(words: Words) -> tuple[np.ndarray, np.ndarray]:
         out[: max(0, len(top) - k * BLOCK)] = top[k * BLOCK :]
         return out
 
-    return (symbol(0) << np.uint64(32)) | symbol(1), (symbol(2) << np.uint64(32)) | symbol(3)
+    return (symbol(0) << np.uint64(32)) | symbol(1), (symbol(2) << np.uint64(32)) | symbol(3), grams(words.hashes, WINDOW, 5)
 
 
 class _Texts:
@@ -285,19 +287,19 @@ def _groups(a: np.ndarray, b: np.ndarray, blocks: np.ndarray, buckets: int) -> n
 # --- step 3: suffixes --------------------------------------------------------
 
 
-def deep_nodes(a: np.ndarray, b: np.ndarray, order: np.ndarray) -> np.ndarray:
+def deep_nodes(a: np.ndarray, b: np.ndarray, c: np.ndarray, order: np.ndarray) -> np.ndarray:
     """For suffixes in sorted ``order``: the first leaf of the node, ``WINDOW`` words
     deep, under which each lies (its own place if no other leaf does)."""
-    s, t = a[order], b[order]
+    s, t, u = a[order], b[order], c[order]
     new = np.ones(len(order), bool)
-    new[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1])  # the common prefix with the leaf before ends earlier
+    new[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1]) | (u[1:] != u[:-1])  # the common prefix with the leaf before ends earlier
     return np.flatnonzero(new)[np.cumsum(new) - 1]
 
 
-def _repeats(a, b, ids, hashes, place) -> tuple[np.ndarray, np.ndarray]:
+def _repeats(a, b, c, ids, hashes, place) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of the suffixes that a subtree keeps, and of the repeats."""
-    order = np.lexsort((place, hashes, ids, b, a))
-    first = order[deep_nodes(a, b, order)]
+    order = np.lexsort((place, hashes, ids, c, b, a))
+    first = order[deep_nodes(a, b, c, order)]
     later = (ids[order] != ids[first]) | (hashes[order] != hashes[first]) | (place[order] != place[first])
     kept = np.unique(first)
     return kept, order[later]
@@ -315,7 +317,7 @@ def _runs(which: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return w[at], p[at].astype(np.uint32), (p[last] - p[at] + 1).astype(np.uint32)
 
 
-_SUFFIX = np.dtype([("a", "<u8"), ("b", "<u8")])
+_SUFFIX = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u8")])
 
 
 def _send_suffixes(at_text: int, blocks: np.ndarray, buckets: int) -> Callable:
@@ -324,11 +326,11 @@ def _send_suffixes(at_text: int, blocks: np.ndarray, buckets: int) -> Callable:
         parts: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[tuple]:
-            which, place, a, b = (np.concatenate(p) for p in zip(*parts, strict=True))
+            which, place, a, b, c = (np.concatenate(p) for p in zip(*parts, strict=True))
             ids, hashes = known.arrays()
-            kept, later = _repeats(a, b, ids[which], hashes[which], place)
+            kept, later = _repeats(a, b, c, ids[which], hashes[which], place)
             symbols = np.empty(len(kept), _SUFFIX)
-            symbols["a"], symbols["b"] = a[kept], b[kept]
+            symbols["a"], symbols["b"], symbols["c"] = a[kept], b[kept], c[kept]
             yield from _post(_groups(a[kept], b[kept], blocks, buckets), _ONE, (ids, hashes), which[kept], symbols, place[kept])
             w, p, n = _runs(which[later], place[later])
             yield from _post(_home(ids, hashes, buckets)[w], _KNOWN, (ids, hashes), w, p, n)
@@ -348,9 +350,9 @@ def _send_suffixes(at_text: int, blocks: np.ndarray, buckets: int) -> Callable:
                         s, e = words.first[r - lo], words.first[r - lo + 1]
                         alive[s:e] = np.isin(scan.anchor[s:e], np.frombuffer(notes[note_at[r] : note_at[r + 1]].tobytes(), "<u8"))
                 at = np.flatnonzero(alive & scan.ok)
-                a, b = _symbols(words)
+                a, b, c = _symbols(words)
                 text = words.text_of()[at]
-                parts.append((known.add(ids[lo:hi], hashes[lo:hi]) + text, (at - words.first[text]).astype(np.uint32), a[at], b[at]))
+                parts.append((known.add(ids[lo:hi], hashes[lo:hi]) + text, (at - words.first[text]).astype(np.uint32), a[at], b[at], c[at]))
                 held += len(at)
                 if held >= SCOPE:
                     yield from _batches(flush(), _POST_ARROW)
@@ -364,7 +366,7 @@ def _send_suffixes(at_text: int, blocks: np.ndarray, buckets: int) -> Callable:
 def _match_suffixes(buckets: int) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         ids, hashes, symbols, place = _read(table, _ONE, _SUFFIX, "<u4")
-        _, later = _repeats(symbols["a"], symbols["b"], ids, hashes, place)
+        _, later = _repeats(symbols["a"], symbols["b"], symbols["c"], ids, hashes, place)
         pairs, which = np.unique(np.stack([ids[later], hashes[later]]), axis=1, return_inverse=True)
         w, p, n = _runs(which.ravel(), place[later])
         out = list(_post(_home(pairs[0], pairs[1], buckets)[w], _KNOWN, (pairs[0], pairs[1]), w, p, n))

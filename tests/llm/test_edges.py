@@ -6,6 +6,7 @@ import itertools
 
 import brute
 import edge
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,22 @@ def test_small_scopes_and_groups_give_the_same(spark, docs, monkeypatch):
     assert sorted(map(str, substrings.dedup_substrings(docs).select("doc_id", "text", "n_removed").collect())) == full
 
 
+def test_windows_that_share_their_symbols_are_told_apart(monkeypatch):
+    """Windows of 20 words that differ in one word, with block hashes that collide."""
+    head = " ".join(f"w{k}" for k in range(19))
+    body, at = b"", [0]
+    for last in ("one", "two", "one"):
+        body += f"{head} {last}".encode()
+        at.append(len(body))
+    words = substrings.Words(np.frombuffer(body, np.uint8), np.array(at))
+    real = substrings.grams
+    monkeypatch.setattr(substrings, "grams", lambda h, n, seed: real(h, n, seed) & np.uint64(0xFFFFFFFF) if n == substrings.BLOCK else real(h, n, seed))
+    whole = [x[words.first[:-1]] for x in substrings._symbols(words)]
+    text = np.arange(3)
+    kept, later = substrings._repeats(*whole, text, text, np.zeros(3, np.uint32))
+    assert sorted(kept) == [0, 1] and list(later) == [2]
+
+
 def test_quality(spark, docs):
     out = quality.judge(docs)
     got = out.select("text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
