@@ -86,22 +86,23 @@ class Model:
 
 def _sample(labelled: DataFrame, id_col: str, lang_col: str) -> DataFrame:
     """At most ``PER_LANGUAGE`` rows per language and ``IN_ALL`` rows in all, by the hash
-    of their ids: first by a threshold that follows from the counts, then by rank."""
+    of their ids: first by a threshold that follows from the counts, then by rank. All
+    first rows come before any second one, so each language has its share of ``IN_ALL``."""
     sizes = labelled.groupBy(lang_col).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), lang_col).limit(LANGUAGES)
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit("fit"))
     share = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
     few = labelled.join(F.broadcast(sizes), lang_col).where(share <= 2.0 * PER_LANGUAGE / F.col("_n") + 1e-9)
     ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy(lang_col).orderBy(order, id_col)))
-    return ranked.where(F.col("_rank") <= PER_LANGUAGE)
+    return ranked.where(F.col("_rank") <= PER_LANGUAGE).orderBy("_rank", lang_col, id_col).limit(IN_ALL)
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fits on a bounded sample of ``labelled``; rows without a language, without a
-    letter or without an id are not learned from. Languages beyond the row bound (in
-    order of name) are left out. Without any row the model predicts ``und`` only."""
+    letter or without an id are not learned from. With many languages each one has
+    fewer rows; those beyond the ``LANGUAGES`` most frequent are left out. Without any
+    row the model predicts ``und`` only."""
     usable = labelled.select(id_col, lang_col, text_col).dropna()
     chosen = _sample(usable.select(id_col, lang_col), id_col, lang_col).select(id_col, lang_col)
-    chosen = chosen.orderBy(lang_col, id_col).limit(IN_ALL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -191,3 +191,15 @@ def test_fit_uses_a_bounded_sample(spark):
     big = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"))
     n = langid._sample(big, "doc_id", "lang").count()
     assert 0 < n <= langid.PER_LANGUAGE
+
+
+def test_fit_learns_every_language_within_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(langid, "IN_ALL", 60)
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 20)
+    rows = spark.range(1000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "zh").otherwise(F.concat(F.lit("l"), F.col("id") % 20)).alias("lang"),
+        F.lit("some words").alias("text"),
+    )
+    sizes = {r.lang: r["count"] for r in langid._sample(rows, "doc_id", "lang").groupBy("lang").count().collect()}
+    assert len(sizes) == 11 and sum(sizes.values()) == 60 and max(sizes.values()) - min(sizes.values()) <= 1
+    assert "zh" in langid.fit(rows).languages
