@@ -21,7 +21,7 @@ LEAST_ASSIGNED = 6
 
 #: Weak parts.
 WEAK_ID = r"""(?i:access_?key(?:_?id)?|client_?id|key_?id|user_?name|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=-]{4,}"""
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{32})(?=[A-Za-z+/_-]{0,63}[0-9])(?=[a-z0-9+/_-]{0,63}[A-Z])(?=[A-Z0-9+/_-]{0,63}[a-z])[A-Za-z0-9+/_-]{32,64}(?![A-Za-z0-9+/_-])={0,2}"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{32})(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]++={0,2}"
 ENDPOINT = r"""(?:https?|ftp|s3|jdbc:[a-z]+|amqps?|rediss?|postgres(?:ql)?|mongodb)://[A-Za-z0-9._~:/?#@%&+=-]+"""
 
 #: Characters between two parts at most.

@@ -140,6 +140,16 @@ def test_secrets(spark):
     assert secrets.find_secrets(empty(spark)).count() == 0
 
 
+def test_long_secrets_are_linked(spark):
+    key = "Ab3/" * 21 + "xY"  # with two signs of padding, 88 characters
+    texts = [f"BlobEndpoint=https://a.example.net;AccountKey={key}== end", f"client_id = my-client-7 {key[:65]}", f"only {key * 90} here", f"https://a.example.net {key * 90}"]
+    data = [(k, t, None, None, None) for k, t in enumerate(texts)]
+    got = {r.doc_id: r.spans.split(",") for r in secrets.find_secrets(edge.documents(spark, data)).collect()}
+    at = texts[0].index(key)
+    assert f"weak_secret:{at}:{at + 88}" in got[0] and [s.split(":")[0] for s in got[1]] == ["weak_id", "weak_secret"]
+    assert got[2] == [""] and [s.split(":")[0] for s in got[3]] == ["endpoint", "weak_secret"]
+
+
 def test_decontaminate(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"
     short = "only five words right here"
