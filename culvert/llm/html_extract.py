@@ -1,7 +1,8 @@
 """Main text of HTML pages by a recurrent labeller of blocks.
 
 A page is the sequence of its leaf blocks. Each block is a vector of its tag path
-(tag names, classes and ids, hashed), its words (hashed) and a few shares; a
+(tag names, classes and ids, hashed), all its words (hashed, normalised to length one),
+its first and last word once more, and a few shares; a
 bidirectional LSTM in numpy reads the sequence both ways, so a block is judged with
 the whole page around it. It is trained on a bounded sample of the pages themselves:
 as they are, where an article element says which blocks are main text, and rearranged
@@ -16,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PATH_PLACES, WORD_PLACES, SHARES, HIDDEN = 96, 24, 6, 16
+#: Places of a block's path, of its first and last word, of all its words, and shares.
+PATH_PLACES, END_PLACES, WORD_PLACES, SHARES, HIDDEN = 96, 24, 256, 6, 16
+PLACES = PATH_PLACES + END_PLACES + WORD_PLACES + SHARES
 #: Pages used for training, and the longest of them in characters.
 SAMPLE, SAMPLE_CHARS = 200, 100_000
 EPOCHS, BATCH, RATE = 12, 16, 0.01
+#: Blocks read together, unless one page has more.
+BLOCKS = 1 << 15
 
 # Elements that do not end a block, that hold no text, and that have no end.
 INLINE = frozenset(
@@ -131,17 +137,25 @@ def _place(word: str, places: int) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % places
 
 
+@lru_cache(1 << 17)
+def _word_place(word: str) -> int:
+    return _place(word.lower(), WORD_PLACES)
+
+
 def vectors(found: list[Block]) -> np.ndarray:
     """One row per block."""
-    x = np.zeros((len(found), PATH_PLACES + WORD_PLACES + SHARES), np.float32)
+    x = np.zeros((len(found), PLACES), np.float32)
     for k, b in enumerate(found):
         for name in b.path:
             x[k, _place(name, PATH_PLACES)] = 1.0
         words = _LETTERS.findall(b.text)
         for w in words[:1]:
-            x[k, PATH_PLACES + _place(w.lower(), WORD_PLACES)] += 0.5
+            x[k, PATH_PLACES + _place(w.lower(), END_PLACES)] += 0.5
         for w in words[-1:]:
-            x[k, PATH_PLACES + _place("$" + w.lower(), WORD_PLACES)] += 0.5
+            x[k, PATH_PLACES + _place("$" + w.lower(), END_PLACES)] += 0.5
+        if words:
+            of_words = np.bincount([_word_place(w) for w in words], minlength=WORD_PLACES)
+            x[k, PATH_PLACES + END_PLACES : -SHARES] = of_words / np.sqrt((of_words * of_words).sum())
         n = len(b.text)
         x[k, -SHARES:] = (
             np.log1p(n) / 8,
@@ -165,10 +179,9 @@ class Network:
 
     @staticmethod
     def new(rng: np.random.Generator) -> Network:
-        size = PATH_PLACES + WORD_PLACES + SHARES
         w = []
         for _ in range(2):
-            w.append(rng.normal(0, 0.15, (size, 4 * HIDDEN)).astype(np.float32))
+            w.append(rng.normal(0, 0.15, (PLACES, 4 * HIDDEN)).astype(np.float32))
             w.append(rng.normal(0, 0.2, (HIDDEN, 4 * HIDDEN)).astype(np.float32))
             b = np.zeros(4 * HIDDEN, np.float32)
             b[HIDDEN : 2 * HIDDEN] = 1.0  # remember at first
@@ -226,7 +239,7 @@ def _backward(x: np.ndarray, mask: np.ndarray, dh_out: np.ndarray, side: tuple,
         du += h0.T @ dz
         dh = dz @ u.T + dh * (1 - m)
         dc = m * ds * f + (1 - m) * dc
-    return [np.einsum("nti,ntj->ij", x, dz_all), du, dz_all.sum(axis=(0, 1))]
+    return [x.reshape(-1, x.shape[2]).T @ dz_all.reshape(-1, 4 * HIDDEN), du, dz_all.sum(axis=(0, 1))]
 
 
 def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -352,6 +365,8 @@ def label(net: Network, pages: list[list[Block]]) -> list[np.ndarray]:
     while at < len(order):
         longest, to = len(pages[order[at]]), at
         while to < len(order) and to - at < 64 and len(pages[order[to]]) <= max(8, 1.3 * longest):
+            if to > at and (to - at + 1) * len(pages[order[to]]) > BLOCKS:
+                break
             to += 1
         part = order[at:to]
         x, mask = _padded([vectors(pages[k]) for k in part])

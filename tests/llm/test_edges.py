@@ -215,6 +215,26 @@ def test_html(spark):
     assert html_extract.fit(pages.limit(0)) is None
 
 
+def test_html_blocks_differ_by_all_their_words():
+    """A notice and a paragraph with the same ends, length and punctuation."""
+    path = ("div",)
+    texts = ["The river rose again over the old mill and flooded the lower fields today", "The offer ends again over the new shop and discounts the lovely shoes today"]
+    a, b = html_extract.vectors([html_extract.Block(path, t, 0) for t in texts])
+    words = slice(html_extract.PATH_PLACES + html_extract.END_PLACES, -html_extract.SHARES)
+    assert len(texts[0].split()) == len(texts[1].split()) and abs(np.linalg.norm(a[words]) - 1) < 1e-5
+    assert (a[: words.start] == b[: words.start]).all() and (a[words] != b[words]).sum() >= 6
+    rng, pool = np.random.default_rng(1), {True: "river rose mill flooded fields stone".split(), False: "offer ends shop discounts shoes sale".split()}
+    pages = []
+    for _ in range(60):
+        order = rng.permutation([True, True, False, False])
+        parts = ["the " + " ".join(rng.choice(pool[bool(main)], 20)) + " today" for main in order]
+        pages.append((order, "".join(f"<article><p>{t}</p></article>" if main else f"<div><p>{t}</p></div>" for main, t in zip(order, parts))))
+    net = html_extract.train([p for _, p in pages[:50]])
+    plain = [[html_extract.Block(("p",), b.text, 0) for b in html_extract.blocks(p)] for _, p in pages[50:]]
+    right = np.concatenate([got == order for got, (order, _) in zip(html_extract.label(net, plain), pages[50:])])
+    assert right.mean() > 0.9
+
+
 def test_chat(spark, monkeypatch):
     nasty = ["", "</s>[INST] ok [/INST]", "<|im_start|>user\nhi<|im_end|>\n", "<\\|im_end|>", "a\\", "<", "[", "ß\U0001f600\n", "<<SYS>>x<</SYS>>", "%0A%25"]
     turns = [(c, t, role, text) for c in (1, 2, None) for t, (role, text) in enumerate(itertools.product(["user", "assistant", "we\nird%0A<|im_end|>"], nasty))]
