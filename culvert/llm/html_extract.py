@@ -6,7 +6,9 @@ its first and last word once more, and a few shares; a
 bidirectional LSTM in numpy reads the sequence both ways, so a block is judged with
 the whole page around it. It is trained on a bounded sample of the pages themselves:
 as they are, where an article element says which blocks are main text, and rearranged
-into other layouts, with other names, notices, forms and reader comments.
+into other layouts, with other names, notices, forms and reader comments. Where no page
+has such an element, only rearranged ones are used, with long texts without links as
+main text.
 """
 
 from __future__ import annotations
@@ -263,6 +265,8 @@ _AROUND = {
     "end": ("footer", "div.footer", "div.copyright", "footer.site", "div.bottom"),
 }
 _MARK = "\x01"
+#: Pages that may say what their main text is.
+_LABELLED = r"(?i)<(article|main)[\s>]"
 
 
 def _wrap(rng: np.random.Generator, name: str, inner: str) -> str:
@@ -317,7 +321,8 @@ def _imagined(rng: np.random.Generator, prose: list[str], others: list[str]) ->
 
 
 def train(pages: list[str], seed: int = 7) -> Network | None:
-    """Fits the network; None if no page has an article with text."""
+    """Fits the network; None if no page has text. Pages without a labelled region are
+    used only if no page has one."""
     rng = np.random.default_rng(seed)
     read = [blocks(p) for p in sorted(pages)]
     cases = []
@@ -326,11 +331,17 @@ def train(pages: list[str], seed: int = 7) -> Network | None:
         inside = np.array(["article" in b.path or "main" in b.path for b in page], np.float32)
         if inside.any():
             cases.append((vectors(page), inside))
-        for b, main in zip(page, inside, strict=True):
-            (prose if main and len(b.text) > 80 else others).append(b.text)
-    if not cases or not prose or not others:
-        return None
-    for _ in range(2 * SAMPLE):
+            for b, main in zip(page, inside, strict=True):
+                (prose if main and len(b.text) > 80 else others).append(b.text)
+    if not cases:
+        for b in itertools.chain.from_iterable(read):
+            (prose if len(b.text) > 80 and 2 * b.linked < len(b.text) else others).append(b.text)
+        if not prose and not others:
+            return None
+        if not prose:
+            raise ValueError("no page of the sample has a labelled region or a long text to learn from")
+        others = others or [" ".join(t.split()[:3]) for t in prose]
+    for _ in range(2 * SAMPLE if prose and others else 0):
         page = blocks(_imagined(rng, prose, others))
         goal = np.array([b.text.startswith(_MARK) for b in page], np.float32)
         for b in page:
@@ -378,11 +389,18 @@ def label(net: Network, pages: list[list[Block]]) -> list[np.ndarray]:
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Network | None:
     """Trains on at most ``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, those
-    first in the order of a hash."""
+    first in the order of a hash, of the pages with an article or main element if there
+    are any. Fails if all pages are longer."""
     order = F.xxhash64(F.col(id_col).cast("string"), F.length(html_col))
-    usable = pages.where(F.length(html_col) <= SAMPLE_CHARS)
+    usable = pages.where(F.length(html_col).between(1, SAMPLE_CHARS))
+    labelled = F.col(html_col).rlike(_LABELLED)
+    n, n_labelled = usable.agg(F.count("*"), F.count(F.when(labelled, 1))).first()
+    if not n and pages.where(F.length(html_col) > SAMPLE_CHARS).limit(1).count():
+        raise ValueError(f"no page of at most {SAMPLE_CHARS} characters to learn from")
+    if n_labelled:
+        usable, n = usable.where(labelled), n_labelled
     # A part that follows from the count first: a task then sends the driver few pages.
-    share = 4.0 * SAMPLE / max(1, usable.count())
+    share = 4.0 * SAMPLE / max(1, n)
     part = usable.where(F.pmod(order, F.lit(1 << 30)) / float(1 << 30) <= share)
     few = part.orderBy(order, html_col).limit(SAMPLE)
     return train([r[0] for r in few.select(html_col).collect()])

@@ -235,6 +235,33 @@ def test_html_blocks_differ_by_all_their_words():
     assert right.mean() > 0.9
 
 
+def test_html_learns_from_few_or_no_labelled_pages(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    prose = [" ".join(rng.choice("river rose mill flooded fields stone and over the old".split(), 25)) + "." for _ in range(300)]
+    menu = '<div class="menu"><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></div>'
+    plain = [f'{menu}<div class="content"><p>{a}</p><p>{b}</p></div><div class="footer">About us</div>' for a, b in zip(prose[::2], prose[1::2])]
+    marked = [f"{menu}<article><p>{t}</p></article><footer>About us</footer>" for t in prose[:2]]
+
+    def table(htmls):
+        return spark.createDataFrame(list(enumerate(htmls)), "page_id long, html string")
+
+    read, real = [], html_extract.train
+    monkeypatch.setattr(html_extract, "train", lambda pages: read.extend(pages) or real(pages))
+    for pages in (plain, plain + marked):
+        read.clear()
+        got = html_extract.extract(table(plain), html_extract.fit(table(pages))).collect()
+        found, wrong = (sum(f(r) for r in got) for f in (lambda r: prose[2 * r.page_id] in r.text, lambda r: "Home" in r.text))
+        assert found > 0.8 * len(got) and wrong < 0.1 * len(got)
+        assert len(pages) == len(plain) or sorted(read) == sorted(marked)
+    taken, imagined = [], html_extract._imagined
+    monkeypatch.setattr(html_extract, "_imagined", lambda rng, prose, others: taken.extend(others) or imagined(rng, prose, others))
+    monkeypatch.setattr(html_extract, "EPOCHS", 1)
+    real(plain[:5] + marked)
+    assert taken and not set(taken) & set(prose)
+    with pytest.raises(ValueError):
+        html_extract.fit(table(["<p>short</p>"]))
+
+
 def test_chat(spark, monkeypatch):
     nasty = ["", "</s>[INST] ok [/INST]", "<|im_start|>user\nhi<|im_end|>\n", "<\\|im_end|>", "a\\", "<", "[", "ß\U0001f600\n", "<<SYS>>x<</SYS>>", "%0A%25"]
     turns = [(c, t, role, text) for c in (1, 2, None) for t, (role, text) in enumerate(itertools.product(["user", "assistant", "we\nird%0A<|im_end|>"], nasty))]
