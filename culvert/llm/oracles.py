@@ -121,4 +121,44 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id
 """
 
-ORACLES: dict[str, str] = {"op3_quality": _QUALITY, "op8_substrings": _SUBSTRINGS, "op10_lines": _LINES}
+_PHRASES = r"""
+WITH lists AS (
+  SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), totals AS (
+  SELECT lang, sum(len(words))::HUGEINT AS n FROM lists GROUP BY lang
+), grams AS (
+  SELECT lang, k AS size, unnest([array_to_string(words[i:i + k - 1], ' ') FOR i IN range(1, len(words) - k + 2)]) AS phrase
+  FROM lists, (VALUES (1), (2), (3), (4), (5)) AS lengths(k) WHERE len(words) >= k
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (
+  SELECT lang, phrase, string_split(phrase, ' ') AS words, size, f AS a FROM counts WHERE size > 1
+), cuts AS (
+  SELECT lang, phrase, a, unnest(range(1, size)) AS k, words FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, t.n,
+         (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(words[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), places AS (
+  SELECT lang, words, size, a, unnest(range(1, size)) AS i FROM candidates
+), inside AS (
+  SELECT lang, array_to_string(words[i:j], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(i + 1, size + 1)) AS j FROM places) WHERE j - i + 1 < size GROUP BY ALL
+), kept AS (
+  SELECT w.* FROM lowest w LEFT JOIN inside i ON i.lang = w.lang AND i.phrase = w.phrase
+  WHERE coalesce(100 * most < 100 * w.a, true)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op3_quality": _QUALITY, "op8_substrings": _SUBSTRINGS, "op10_lines": _LINES, "op12_phrases": _PHRASES}

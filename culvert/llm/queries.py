@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culvert.llm import bpe, chat, decontaminate, html_extract, langid, lines, quality, secrets, simhash, substrings
+from culvert.llm import (
+    bpe, chat, decontaminate, embeddings, html_extract, langid, lines, phrases, quality, secrets, simhash, spelling, substrings,
+)
 from culvert.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES", "table", "tokenizer_path"]
@@ -125,9 +127,22 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op13_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_langid, op3_quality, op4_bpe, op5_html, op6_secrets, op7_decontaminate, op8_substrings, op9_chat, op10_lines,
+        op11_spelling, op12_phrases, op13_embeddings,
     )
 }
