@@ -1,8 +1,9 @@
 """Dense (entity, period, count) panels and trailing means.
 
-A panel is densified from a map ``period -> count`` per entity, which needs one
-shuffle by entity and no join. The map holds one entry per period (years or
-months), so it stays small for an entity with any number of raw rows.
+A panel is densified by its own rows: each one sees the entity's next period and
+emits the gap behind it, so the work is linear in the periods, with one shuffle by
+entity and no join. An entity has one row per period (years or months), so a window
+stays small for an entity with any number of raw rows.
 """
 
 from __future__ import annotations
@@ -13,24 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _densify(
-    maps: DataFrame, keys: Sequence[str], period: str, steps: Column, fills: dict[str, Column]
+def _emitted(
+    df: DataFrame, keys: Sequence[str], period: str, steps: Column, fills: dict[str, Column]
 ) -> DataFrame:
-    spread = maps.withColumn(period, F.explode(steps))
-    found = F.try_element_at(F.col("_cells"), F.col(period))
-    return spread.withColumn("_cell", found).select(
+    """Every row once per step; only the step of its own period keeps its values."""
+    own = F.col("_step") == F.col(period)
+    spread = df.withColumn("_step", F.explode(steps))
+    return spread.select(
         *keys,
-        period,
-        *[F.coalesce(F.col("_cell")[c], fill).alias(c) for c, fill in fills.items()],
-    )
-
-
-def _cells(df: DataFrame, keys, period: str, cols) -> DataFrame:
-    pair = F.struct(F.col(period), F.struct(*cols))
-    return df.where(F.col(period).isNotNull()).groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(pair)).alias("_cells"),
-        F.min(period).alias("_lo"),
-        F.max(period).alias("_hi"),
+        F.col("_step").alias(period),
+        *[F.when(own, F.coalesce(F.col(c), fill)).otherwise(fill).alias(c) for c, fill in fills.items()],
     )
 
 
@@ -43,9 +36,13 @@ def densify_global(
     hence the only cross join here.
     """
     bounds = df.agg(F.min(period).alias("_first"), F.max(period).alias("_last"))
-    maps = _cells(df, keys, period, [count]).crossJoin(F.broadcast(bounds))
-    steps = F.sequence("_first", "_last")
-    return _densify(maps, keys, period, steps, {count: F.lit(0)})
+    w = Window.partitionBy(*keys).orderBy(period)
+    known = df.where(F.col(period).isNotNull()).crossJoin(F.broadcast(bounds))
+    # The first row also emits what lies before it.
+    start = F.when(F.lag(period).over(w).isNull(), F.col("_first")).otherwise(F.col(period))
+    end = F.coalesce(F.lead(period).over(w) - 1, F.col("_last"))
+    spans = known.withColumns({"_from": start, "_to": F.greatest(end, period)})
+    return _emitted(spans, keys, period, F.sequence("_from", "_to"), {count: F.lit(0)})
 
 
 def densify_span(
@@ -53,12 +50,15 @@ def densify_span(
 ) -> DataFrame:
     """Every entity gets every month of its own span; gaps are 0.
 
-    ``extra`` columns belong to a (entity, period) row and stay NULL in gaps.
+    ``df`` has one row per entity and month (its first day). ``extra`` columns belong to
+    such a row and stay NULL in gaps.
     """
-    maps = _cells(df, keys, period, [count, *extra])
-    steps = F.sequence(F.col("_lo"), F.col("_hi"), F.expr("interval 1 month"))
+    w = Window.partitionBy(*keys).orderBy(period)
+    end = F.coalesce(F.add_months(F.lead(period).over(w), -1), F.col(period))
+    spans = df.where(F.col(period).isNotNull()).withColumn("_to", F.greatest(end, period))
+    steps = F.sequence(F.col(period), F.col("_to"), F.expr("interval 1 month"))
     fills = {count: F.lit(0), **{c: F.lit(None) for c in extra}}
-    return _densify(maps, keys, period, steps, fills)
+    return _emitted(spans, keys, period, steps, fills)
 
 
 def rolling_mean(
