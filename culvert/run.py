@@ -7,7 +7,8 @@
 With ``--snapshot`` the five public feeds come from that day's snapshot and the
 run fails when there is none; without it they are read from the landing folder
 (tab-delimited text) and kept as today's snapshot first. The facility list and
-the enforcement orders are local files in both cases.
+the enforcement orders are local files in both cases. Snapshots and results are
+published whole: a run that breaks off leaves those of earlier runs as they were.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from culvert.config import ScreeningConfig
 from culvert.operators.layout import audit
 from culvert.plans import RESULT_HEADERS, Screening, screen, summary
-from culvert.sources import STAGED, read_delimited, read_snapshot, stage, write_result, write_snapshot
+from culvert.sources import STAGED, Publication, read_delimited, read_published, stage
 
 LOCAL = ("facilities", "enforcement")
 
@@ -37,26 +38,20 @@ def load(
 ) -> dict[str, DataFrame]:
     """Staged tables from a snapshot, or from fresh feeds that become one."""
     day = snapshot or today or dt.date.today()
+    public = {name: feed for name, feed in STAGED.items() if name not in LOCAL}
+    if snapshot is None:
+        with Publication(spark, snapshots, day) as kept:
+            for feed in public.values():
+                path = f"{landing}/{feed.stem}.txt"
+                fresh = read_delimited(spark, path, sep="\t", tokens=feed.tokens, upper=feed.upper, multiline=multiline)
+                kept.add(feed.stem, fresh)
     tables = {}
     for name, feed in STAGED.items():
-        if name in LOCAL:
-            raw = read_delimited(
-                spark, f"{local}/{feed.stem}.csv", tokens=feed.tokens, multiline=multiline
-            )
+        if name in public:
+            # Fresh feeds are read back too: later passes then scan columns, not text.
+            raw = read_published(spark, snapshots, feed.stem, day)
         else:
-            if snapshot is None:
-                fresh = read_delimited(
-                    spark,
-                    f"{landing}/{feed.stem}.txt",
-                    sep="\t",
-                    tokens=feed.tokens,
-                    upper=feed.upper,
-                    multiline=multiline,
-                )
-                write_snapshot(fresh, snapshots, feed.stem, day)
-            # Fresh feeds are read back too: later passes then scan columns,
-            # not text.
-            raw = read_snapshot(spark, snapshots, feed.stem, day)
+            raw = read_delimited(spark, f"{local}/{feed.stem}.csv", tokens=feed.tokens, multiline=multiline)
         tables[name] = stage(raw, feed.columns)
     return tables
 
@@ -64,9 +59,9 @@ def load(
 def publish(
     run: Screening, root: str, day: dt.date, fmt: str = "csv", tables: Mapping[str, DataFrame] | None = None
 ) -> dict[str, str]:
-    """Writes the report, the assets under enforcement, the summary and the
-    audit of a run; returns their paths. The audit lists the raw ``tables`` too, the
-    spill feeds from the run's own counts."""
+    """Publishes the report, the assets under enforcement, the summary and the
+    audit of a run, all at once; returns their paths (``read_published`` reads them). The
+    audit lists the raw ``tables`` too, the spill feeds from the run's own counts."""
     report = run.report.persist()  # read by the file, the summary and the audit
     under = run.under_enforcement.persist()
     raw = {f"raw_{n}": t.select("wdid") for n, t in (tables or {}).items() if not n.endswith("_spills")}
@@ -81,14 +76,13 @@ def publish(
         "under_enforcement": under,
         "report": report,
     }
-    paths = {
-        "report": write_result(report, root, "report", day, RESULT_HEADERS, fmt),
-        "under_enforcement": write_result(
-            under, root, "under_enforcement", day, RESULT_HEADERS, fmt
-        ),
-        "summary": write_result(summary(report), root, "summary", day, fmt=fmt),
-        "audit": write_result(audit(stages, "wdid", counts), root, "audit", day, fmt=fmt),
-    }
+    with Publication(report.sparkSession, root, day) as out:
+        paths = {
+            "report": out.add("report", report, RESULT_HEADERS, fmt),
+            "under_enforcement": out.add("under_enforcement", under, RESULT_HEADERS, fmt),
+            "summary": out.add("summary", summary(report), fmt=fmt),
+            "audit": out.add("audit", audit(stages, "wdid", counts), fmt=fmt),
+        }
     for df in (report, under):
         df.unpersist()
     return paths

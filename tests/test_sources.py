@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from culvert.config import ScreeningConfig
 from culvert.plans import RESULT_HEADERS, screen
 from culvert.sources import (
+    Publication,
     as_of,
     from_folder,
     normalise_headers,
+    published,
     read_delimited,
+    read_published,
     read_snapshot,
     write_result,
     write_snapshot,
@@ -80,6 +83,42 @@ def test_snapshots(spark, tmp_path):
         read_snapshot(spark, root, "t", dt.date(2020, 1, 1))
 
 
+def test_runs_are_published_whole(spark, tmp_path):
+    root, day, later = str(tmp_path / "out"), dt.date(2026, 4, 13), dt.date(2026, 4, 14)
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+
+    def run(when, v, *names, fmt="parquet"):
+        with Publication(spark, root, when) as out:
+            for n in names:
+                out.add(n, df.withColumn("v", F.lit(v)), {"k": "K.NAME"}, fmt)
+        return out
+
+    def read(name, when=None):
+        return [tuple(r) for r in read_published(spark, root, name, when).collect()]
+
+    with pytest.raises(FileNotFoundError):
+        read("t")
+    run(day, 1, "t", "u")
+    assert read("t") == read("u") == read("t", day) == [("a", 1)]
+    assert read_published(spark, root, "t").columns == ["K.NAME", "v"]
+    run(later, 2, "t")
+    assert read("t") == [("a", 2)] and read("t", day) == [("a", 1)]
+    with pytest.raises(FileNotFoundError):
+        read("u")  # the newest run has none
+    with pytest.raises(RuntimeError):  # ends between two writes
+        with Publication(spark, root, later) as out:
+            out.add("t", df.withColumn("v", F.lit(3)))
+            raise RuntimeError
+    assert not out.committed and read("t") == [("a", 2)] and published(spark, root).count() == 3
+    second = run(day, 4, "t", "u", fmt="csv")  # once more for an earlier day
+    assert read("t", day) == read("u", day) == [("a", 4)] and read("t") == [("a", 2)]
+    assert {r.run_id for r in published(spark, root).where(F.col("run_date") == day).collect()} == {second.run_id}
+    with pytest.raises(ValueError):
+        second.add("v", df)
+    with pytest.raises(ValueError):
+        second.commit()
+
+
 def test_results(spark, tmp_path):
     df = spark.createDataFrame([("1", "n")], "wdid string, facility_name string")
     for fmt in ("csv", "parquet"):

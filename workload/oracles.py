@@ -401,6 +401,14 @@ SELECT o_orderkey, o_orderpriority AS status,
         "",
     ),
     "snapshot_round_trip": ("SELECT event_id, user_id, event_type, value FROM events", ""),
+    "published_results": (
+        """
+SELECT event_id, user_id, event_type, value, type_count, users
+FROM events JOIN (SELECT event_type, count(*) AS type_count, count(DISTINCT user_id) AS users FROM events GROUP BY event_type)
+  USING (event_type)
+WHERE event_type = 'error'""",
+        "",
+    ),
     "size_class_lookup": (
         f"""
 SELECT wdid, length_class, CASE length_class WHEN 'Large' THEN '>= 500 miles'

@@ -14,7 +14,9 @@ from culvert.operators.cut import new_table, written
 from culvert.operators import joins, layout, outliers, panels, picks, quantiles
 from culvert.plans import enforcement, facts, job, report, reporting, spills
 from culvert.plans.attributes import attributes_of, system_attributes
-from culvert.sources import STAGED, as_of, read_delimited, read_snapshot, stage, write_snapshot
+from culvert.sources import (
+    STAGED, Publication, as_of, read_delimited, read_published, read_snapshot, stage, write_snapshot,
+)
 from workload import roles
 from workload.roles import CONFIG, read
 
@@ -178,6 +180,20 @@ def snapshot_round_trip(spark, sf):
     return read_snapshot(spark, root, "events", day)
 
 
+@query
+def published_results(spark, sf):
+    """Two tables of a run as readers get them, another run of the day having broken off."""
+    root, day = new_table(spark, "published"), dt.date(2024, 1, 15)
+    events = read(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    with Publication(spark, root, day) as run:
+        run.add("events", events.where("event_type = 'error'"))
+        types = events.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
+        run.add("types", types, {"n": "EVENT COUNT"}, "csv")
+    Publication(spark, root, day).add("events", events.where("event_id < 0"))
+    types = read_published(spark, root, "types", day).select("event_type", F.col("EVENT COUNT").alias("type_count"), "users")
+    return read_published(spark, root, "events").join(types, "event_type")
+
+
 @query
 def size_class_lookup(spark, sf):
     classed = roles.questionnaire(spark, sf).select(
