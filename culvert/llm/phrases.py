@@ -8,10 +8,11 @@ its frequencies. Phrases are counted in the dictionary only, each with the frequ
 its chunk, and only where they begin in a chunk's own words, so what two chunks share
 is counted once.
 
-Three passes over the dictionary narrow down what is counted by its text: hashes of
-words, then hashes of pairs of words that are frequent themselves, then phrases all of
-whose pairs are frequent. What is frequent by hash is kept in a bit map of fixed size;
-collisions let more through, never less, and the counts by text decide.
+Passes over the dictionary narrow down what is counted by its text: hashes of words,
+then hashes of pairs of words that are frequent themselves, then phrases all of whose
+pairs are frequent, and at last the words of these. What is frequent by hash is kept in
+a bit map of fixed size; collisions let more through, never less, and the counts by text
+decide.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ LONGEST = 5
 TRIGGER, MOST = 16, 64
 #: Bits of a map of frequent hashes (8 MB), whatever the corpus.
 BITS = 1 << 26
+#: Bytes of chunks that are counted together in a task.
+READ = 8 << 20
 
 _WORD, _BLANK, _BREAK = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -40,8 +43,10 @@ _KIND[[0x20, 0x09]] = _BLANK
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _BREAK
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: A random number per byte, none for bytes outside words.
-_MIXED = np.where(_KIND == _WORD, np.random.default_rng(12).integers(1, 2**63, 256, np.uint64), np.uint64(0))
+#: A random number per byte; for triggers, none for bytes outside words.
+_BYTES = np.random.default_rng(12).integers(1, 2**63, 256, np.uint64)
+_MIXED = np.where(_KIND == _WORD, _BYTES, np.uint64(0))
+_POWERS = np.cumprod(np.full(1024, _ODD))
 
 
 def _spans(word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +66,7 @@ def _gathered(body: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array
     return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
 
 
-def _chunked(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+def _chunked(body: np.ndarray, at: np.ndarray, trigger: int = TRIGGER, most: int = MOST) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Row, text and number of own words of every chunk of some texts."""
     kind = _KIND[body]
     start, last = _spans(kind == _WORD, at)
@@ -71,9 +76,9 @@ def _chunked(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array, np
     piece = np.cumsum(kind == _BREAK)[start] + row
     fresh = np.concatenate([[True], piece[1:] != piece[:-1]])
     hashed = np.add.reduceat(_MIXED[body], start) * _ODD
-    cut = fresh | ((hashed >> np.uint64(40)) % np.uint64(TRIGGER) == 0)
+    cut = fresh | ((hashed >> np.uint64(40)) % np.uint64(trigger) == 0)
     places = np.arange(len(start))
-    cut |= (places - places[cut][np.cumsum(cut) - 1]) % MOST == 0
+    cut |= (places - places[cut][np.cumsum(cut) - 1]) % most == 0
     head = places[cut]
     until = np.concatenate([head[1:], [len(start)]])
     ends = np.concatenate([places[fresh][1:], [len(start)]])[np.cumsum(fresh) - 1]
@@ -81,7 +86,9 @@ def _chunked(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array, np
     return row[head], _gathered(body, start[head], last[to] + 1), (until - head).astype(np.int32)
 
 
-def chunks(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def chunks(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", trigger: int = TRIGGER, most: int = MOST
+) -> DataFrame:
     """The dictionary ``(lang, chunk, own, freq)``: distinct chunks, the number of their
     own words, and how often each occurs. A missing language is ``und``; missing, empty
     and wordless texts have no chunks. Repeated rows count as often as they occur."""
@@ -91,7 +98,7 @@ def chunks(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
             offsets, body = texts(batch.column(1))
             for a, b in slices(offsets):
                 part = _LOWER[body[offsets[a] : offsets[b]]]
-                row, chunk, own = _chunked(part, offsets[a : b + 1] - offsets[a])
+                row, chunk, own = _chunked(part, offsets[a : b + 1] - offsets[a], trigger, most)
                 if len(row):
                     lang = batch.column(0).take(pa.array(row + a))
                     yield pa.RecordBatch.from_arrays([lang, chunk.cast(pa.string()), pa.array(own)], ["lang", "chunk", "own"])
@@ -100,44 +107,67 @@ def chunks(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
     return picked.mapInArrow(run, "lang string, chunk string, own int").groupBy("lang", "chunk", "own").agg(F.count("*").alias("freq"))
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash per text, from its bytes and their places. Equal hashes of different texts
+    only let more through the maps."""
+    at, body = texts(words)
+    place = (np.arange(len(body)) - np.repeat(at[:-1], np.diff(at))) % len(_POWERS)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[body] * _POWERS[place])])
+    x = (total[at[1:]] - total[at[:-1]]) * _ODD
+    return (x ^ (x >> np.uint64(32))) * _ODD
+
+
 @dataclass
 class Parsed:
-    """The words of a batch of chunks, numbered by language and text."""
+    """The words of some chunks, numbered by language and text."""
 
-    words: list[bytes]  # distinct ones, by number
-    langs: list[str]
-    number: np.ndarray  # of each word of the batch
+    text: pa.Array  # of the word with each number
+    lang: pa.Array
+    hashes: np.ndarray
+    number: np.ndarray  # of each word of the chunks
     weight: np.ndarray  # frequency of its chunk; 0 outside the own words
     follows: np.ndarray  # does the next word stand in the same chunk?
 
     @classmethod
-    def of(cls, batch: pa.RecordBatch) -> Parsed:
-        at, body = texts(batch.column(1))
+    def of(cls, some: pa.Table) -> Parsed:
+        at, body = texts(some["chunk"])
         inside = _KIND[body] == _WORD
         start, last = _spans(inside, at)
         size = np.concatenate([[0], np.cumsum(last - start + 1)])
-        coded = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(start), [None, pa.py_buffer(size.astype(np.int64)), pa.py_buffer(body[inside])]
+        coded = pa.LargeStringArray.from_buffers(
+            len(start), pa.py_buffer(size.astype(np.int64)), pa.py_buffer(body[inside])
         ).dictionary_encode()
-        lang = batch.column(0).dictionary_encode()
-        row = np.searchsorted(at, start, "right") - 1
-        first = np.searchsorted(row, np.arange(batch.num_rows))
-        live = np.arange(len(start)) - first[row] < batch.column(2).to_numpy()[row]
-        both = coded.indices.to_numpy().astype(np.int64) * len(lang.dictionary) + lang.indices.to_numpy()[row]
-        distinct, number = np.unique(both, return_inverse=True)
-        spoken, names = coded.dictionary.to_pylist(), lang.dictionary.to_pylist()
+        lang = some["lang"].combine_chunks().dictionary_encode()
+        each = np.bincount(np.searchsorted(at, start, "right") - 1, minlength=some.num_rows)
+        row = np.repeat(np.arange(some.num_rows), each)
+        place = np.arange(len(start)) - np.repeat(np.cumsum(each) - each, each)
+        live = place < some["own"].to_numpy()[row]
+        langs = max(1, len(lang.dictionary))
+        both = coded.indices.to_numpy().astype(np.int64) * langs + lang.indices.to_numpy()[row]
+        there = np.zeros(len(coded.dictionary) * langs, bool)
+        there[both] = True
+        distinct = np.flatnonzero(there)
+        hashed, spoken = _hashes(coded.dictionary), _hashes(lang.dictionary)
         return cls(
-            [spoken[c // len(names)] for c in distinct.tolist()],
-            [names[c % len(names)] for c in distinct.tolist()],
-            number,
-            np.where(live, batch.column(3).to_numpy()[row], 0),
+            coded.dictionary.take(pa.array(distinct // langs)),
+            lang.dictionary.take(pa.array(distinct % langs)),
+            _pair_hash(spoken[distinct % langs], hashed[distinct // langs]),
+            (np.cumsum(there) - 1)[both],
+            np.where(live, some["freq"].to_numpy()[row], 0),
             np.concatenate([row[1:] == row[:-1], [False]]) if len(row) else np.zeros(0, bool),
         )
 
-    def hashes(self) -> np.ndarray:
-        seeds = {lang: xxhash.xxh64_intdigest(lang) for lang in set(self.langs)}
-        found = [xxhash.xxh64_intdigest(w, seeds[lang]) for w, lang in zip(self.words, self.langs, strict=True)]
-        return np.array(found, np.uint64)
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Parsed]:
+    """Chunks some ``READ`` bytes at a time: the more, the fewer repeat each other's words."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= READ:
+            yield Parsed.of(pa.Table.from_batches(held))
+            held = []
+    if held:
+        yield Parsed.of(pa.Table.from_batches(held))
 
 
 def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -154,83 +184,108 @@ def _summed(codes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _hit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(BITS - 1)
+    place = hashes & np.uint64(64 * len(bits) - 1)
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _word_hashes(p: Parsed) -> tuple[np.ndarray, np.ndarray]:
-    total = np.zeros(len(p.words), np.int64)
+    total = np.zeros(len(p.hashes), np.int64)
     np.add.at(total, p.number, p.weight)
-    return p.hashes(), total
+    return p.hashes, total
 
 
 def _pair_hashes(p: Parsed, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hashes = p.hashes()
-    often = _hit(frequent, hashes)[p.number]
+    often = _hit(frequent, p.hashes)[p.number]
     i = np.flatnonzero(often[:-1] & often[1:] & p.follows[:-1] & (p.weight[:-1] > 0))
-    pairs, _, total, _ = _summed(p.number[i] * len(hashes) + p.number[i + 1], p.weight[i])
-    return _pair_hash(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)]), total
+    known = max(1, len(p.hashes))
+    pairs, _, total, _ = _summed(p.number[i] * known + p.number[i + 1], p.weight[i])
+    return _pair_hash(p.hashes[pairs // known], p.hashes[pairs % known]), total
 
 
-def _phrases(p: Parsed, frequent: np.ndarray, paired: np.ndarray) -> tuple[list, list, list, list]:
-    """Language, text, words and weight of the phrases of a batch that may be frequent."""
-    hashes, known = p.hashes(), len(p.words)
-    often = _hit(frequent, hashes)[p.number]
+def _phrases(p: Parsed, frequent: np.ndarray, paired: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Language, text, words and weight of the phrases of two words or more that may be frequent."""
+    known = max(1, len(p.hashes))
+    often = _hit(frequent, p.hashes)[p.number]
     linked = np.zeros(len(often), bool)
     i = np.flatnonzero(often[:-1] & often[1:] & p.follows[:-1])
-    linked[i] = _hit(paired, _pair_hash(hashes[p.number[i]], hashes[p.number[i + 1]]))
-    out: tuple[list, list, list, list] = ([], [], [], [])
-    start = np.flatnonzero(often & (p.weight > 0))
+    linked[i] = _hit(paired, _pair_hash(p.hashes[p.number[i]], p.hashes[p.number[i + 1]]))
+    start = np.flatnonzero(linked & (p.weight > 0))
     code = p.number[start]
-    for length in range(1, LONGEST + 1):
-        if length > 1:
-            on = linked[start + length - 2]
-            start, code = start[on], code[on]
-            code = code * known + p.number[start + length - 1]
-        _, place, total, code = _summed(code, p.weight[start])
-        for at, n in zip(start[place].tolist(), total.tolist(), strict=True):
-            numbers = p.number[at : at + length]
-            out[0].append(p.langs[numbers[0]])
-            out[1].append(b" ".join(p.words[k] for k in numbers).decode())
-            out[2].append(length)
-            out[3].append(n)
-    return out
-
-
-def _frequent(dictionary: DataFrame, found: Callable[[Parsed], tuple[np.ndarray, np.ndarray]], least: int) -> np.ndarray:
-    """Bit map of the hashes that ``found`` counts to ``least`` or more in all."""
+    for length in range(2, LONGEST + 1):
+        on = linked[start + length - 2]
+        start, code = start[on], code[on]
+        _, place, total, code = _summed(code * known + p.number[start + length - 1], p.weight[start])
+        words = [p.text.take(pa.array(p.number[start[place] + k])) for k in range(length)]
+        yield _counted(p, start[place], pa.compute.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())), length, total)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, total = found(Parsed.of(batch))
-            some = total > 0
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[some].view(np.int64)), pa.array(total[some])], ["h", "n"])
-
-    often = dictionary.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    place = F.col("h").bitwiseAND(F.lit(BITS - 1))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-    cells = often.groupBy(F.shiftright(place, 6).alias("cell")).agg(F.bit_or(one).alias("bits"))
-    got = cells.toArrow()  # BITS / 64 rows at most
-    bits = np.zeros(BITS // 64, np.uint64)
+
+def _words(p: Parsed, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The same for single words, those that ``wanted`` lets through."""
+    some = np.flatnonzero(_hit(wanted, p.hashes)[p.number] & (p.weight > 0))
+    number, place, total, _ = _summed(p.number[some], p.weight[some])
+    yield _counted(p, some[place], p.text.take(pa.array(number)), 1, total)
+
+
+def _counted(p: Parsed, place: np.ndarray, phrase: pa.Array, length: int, total: np.ndarray) -> pa.RecordBatch:
+    lang = p.lang.take(pa.array(p.number[place]))
+    size = pa.array(np.full(len(total), length, np.int32))
+    return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), size, pa.array(total)], ["lang", "phrase", "words", "n"])
+
+
+def _mapped(often: DataFrame, size: int) -> np.ndarray:
+    """Bit map of the places (column ``h``)."""
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)))
+    got = often.groupBy(F.shiftright("h", 6).alias("cell")).agg(F.bit_or(one).alias("bits")).toArrow()  # a row per 64 bits at most
+    bits = np.zeros(size // 64, np.uint64)
     bits[got["cell"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     return bits
 
 
-def phrase_counts(dictionary: DataFrame, least: int = 100) -> DataFrame:
-    """``(lang, phrase, words, f)``: all phrases of 1 to ``LONGEST`` words that occur
-    ``least`` times or more in their language."""
-    share = dictionary.sparkSession.sparkContext.broadcast
-    frequent = share(_frequent(dictionary, _word_hashes, least))
-    paired = share(_frequent(dictionary, lambda p: _pair_hashes(p, frequent.value), least))
+def _frequent(dictionary: DataFrame, found: Callable[[Parsed], tuple[np.ndarray, np.ndarray]], least: int, size: int) -> np.ndarray:
+    """Bit map of the hashes that ``found`` counts to ``least`` or more in all. Counted by
+    their place in the map, so what is shuffled has no more rows per task than the map
+    has bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parsed in _read(batches):
+            hashes, total = found(parsed)
+            some = total > 0
+            place = (hashes[some] & np.uint64(size - 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[some])], ["h", "n"])
+
+    return _mapped(dictionary.mapInArrow(run, "h int, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least), size)
+
+
+def _spoken(phrases: DataFrame, size: int) -> np.ndarray:
+    """Bit map of the words of some phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, phrase, words, n = _phrases(Parsed.of(batch), frequent.value, paired.value)
-            arrays = [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(words, pa.int32()), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "words", "n"])
+            hashes = _pair_hash(_hashes(batch.column(0)), _hashes(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([pa.array((hashes & np.uint64(size - 1)).astype(np.int32))], ["h"])
+
+    words = phrases.select("lang", F.explode(F.split("phrase", " ")).alias("word")).distinct()
+    return _mapped(words.mapInArrow(run, "h int"), size)
+
+
+def phrase_counts(dictionary: DataFrame, least: int = 100, bits: int = BITS) -> DataFrame:
+    """``(lang, phrase, words, f)``: all phrases of 2 to ``LONGEST`` words that occur
+    ``least`` times or more in their language, and at least all single words in them."""
+    share = dictionary.sparkSession.sparkContext.broadcast
+    frequent = share(_frequent(dictionary, _word_hashes, least, bits))
+    paired = share(_frequent(dictionary, lambda p: _pair_hashes(p, frequent.value), least, bits))
+
+    def counted(pick: Callable[[Parsed], Iterator[pa.RecordBatch]]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for parsed in _read(batches):
+                yield from pick(parsed)
+
+        found = dictionary.mapInArrow(run, "lang string, phrase string, words int, n long")
+        return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
 
-    found = dictionary.mapInArrow(run, "lang string, phrase string, words int, n long")
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    longer = stored(counted(lambda p: _phrases(p, frequent.value, paired.value)), "phrases")
+    wanted = share(_spoken(longer, bits))
+    return longer.unionByName(counted(lambda p: _words(p, wanted.value)))
 
 
 def _part(words: Column, start: Column | int, length: Column) -> Column:
@@ -266,7 +321,15 @@ def _contained(counts: DataFrame) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, best: int = 2000, share: int = 100
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    least: int = 100,
+    best: int = 2000,
+    share: int = 100,
+    trigger: int = TRIGGER,
+    most: int = MOST,
+    bits: int = BITS,
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: per language the ``best`` phrases of
     2 to ``LONGEST`` words.
@@ -280,9 +343,9 @@ def collocations(
     ``und``, a missing text empty; repeated rows count as often as they occur, ids and
     other columns are not read, and an empty table has no phrases.
     """
-    dictionary = stored(chunks(docs, text_col, lang_col), "chunks")
+    dictionary = stored(chunks(docs, text_col, lang_col, trigger, most), "chunks")
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("n"))
-    counts = stored(phrase_counts(dictionary, least), "phrases")
+    counts = stored(phrase_counts(dictionary, least, bits), "phrases")
     scored = _scored(counts, totals).join(_contained(counts), ["lang", "phrase"], "left")
     left = scored.where(F.coalesce(100 * F.col("most") < share * F.col("a"), F.lit(True)))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
