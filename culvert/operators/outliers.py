@@ -8,10 +8,17 @@ of a class is removed, and always its current lowest or highest value.
 That chain is sequential, but short: only the ``k`` lowest and ``k`` highest
 values take part, and everything between them enters as three sums. So Spark
 cuts the tails with a sketch, ranks them by a distributed sort, and sums the
-rest; the chain then walks inward over blocks of ranks. A task holds two
-blocks of a class, never a class. All classes walk their first blocks in one pass,
-however many there are; the driver only holds a state row for each class that has
-further blocks to go.
+rest. A class of up to ``BLOCK`` steps is walked by one task.
+
+Longer ones are cut into segments of ``BLOCK`` steps that are walked at the same time.
+A walk over every few thousandth value guesses where each segment begins; then each
+begins again where the one before it ended, until none moves. What is left after a
+number of steps hardly depends on the beginning, as the walk always makes for
+the point where both ends are equally far from the mean, so two rounds are the rule,
+whatever ``k`` is; in the worst case each round settles one segment more. The result is
+that of the sequential walk in any case: the first segment begins right, and each other
+one where its forerunner ended. A task holds four blocks of a class, the driver two
+numbers per segment.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from culvert.operators.cut import new_table, written
@@ -184,7 +191,7 @@ def _walker(cls: str, tie: Sequence[str], alpha: float):
 
     def walk(block: pd.DataFrame) -> pd.DataFrame:
         state = block.iloc[0]
-        n, k, done = int(state["n"]), int(state["k"]), int(state["step"])
+        n, done = int(state["n"]), int(state["step"])
         low = block[block["side"] == _LOW].sort_values("rank")
         high = block[block["side"] == _HIGH].sort_values("rank")
         lx, hx = low["dev"].to_numpy(), high["dev"].to_numpy()
@@ -195,8 +202,8 @@ def _walker(cls: str, tie: Sequence[str], alpha: float):
         low_rank, high_rank = low["rank"].to_numpy(), high["rank"].to_numpy()
         i = int(state["a"] - low_rank[0]) if len(lx) else 0
         j = int(state["b"] - high_rank[0]) if len(hx) else 0
-        out = []
-        while done < k and i < len(lx) and j < len(hx):
+        out, stop = [], int(state["stop"])
+        while done < stop and i < len(lx) and j < len(hx):
             m = n - done
             if m < 3 or lx[i] >= hx[j]:
                 break
@@ -217,11 +224,35 @@ def _walker(cls: str, tie: Sequence[str], alpha: float):
         steps = log["step"].to_numpy(dtype=float)
         log["critical"] = critical_values(n, steps, alpha) if len(steps) else steps
         log.insert(0, cls, state[cls])
+        log["seg"] = int(state["seg"])
         return log
 
     return walk
 
 
+def _guesser(cls: str, block: int):
+    def guess(cells: pd.DataFrame) -> pd.DataFrame:
+        """Where the segments of a class begin, from one value and the sum per cell."""
+        state = cells.iloc[0]
+        n, k, wide, total = int(state["n"]), int(state["k"]), int(state["wide"]), float(state["total"])
+        low, high = (cells[cells["side"] == side].sort_values("cell") for side in (_LOW, _HIGH))
+        first = [low["least"].to_numpy(), high["most"].to_numpy()]
+        gone = [np.concatenate([[0.0], np.cumsum(part["s"].to_numpy())]) for part in (low, high)]
+        at, out = [0, 0], []
+        while (done := (at[0] + at[1]) * wide) < k and at[0] < len(first[0]) and at[1] < len(first[1]):
+            mean = (total - gone[0][at[0]] - gone[1][at[1]]) / max(1, n - done)
+            side = _LOW if mean - first[0][at[0]] > first[1][at[1]] - mean else _HIGH
+            for start in range(-(-done // block) * block, min(done + wide, k), block):
+                a, b = at[0] * wide, at[1] * wide
+                out.append((start // block, a + start - done, b) if side == _LOW else (start // block, a, b + start - done))
+            at[side] += 1
+        found = pd.DataFrame(out, columns=["seg", "a", "b"])
+        found.insert(0, cls, state[cls])
+        return found
+
+    return guess
+
+
 def gesd_steps(
     df: DataFrame,
     cls: str,
@@ -294,55 +325,50 @@ def gesd_steps(
     )
     sums = written(parts, "tail-sums")
 
-    schema = f"{cls} {cls_type}, step long, side int, rank long, r_stat double, a long, b long, critical double"
+    schema = f"{cls} {cls_type}, step long, side int, rank long, r_stat double, a long, b long, critical double, seg long"
     walk = _walker(cls, tie, alpha)
     logs = new_table(spark, "removed")
 
-    def round_(state: DataFrame, blocks: Sequence[int]) -> None:
-        """Walks one pair of blocks of each class in ``state``; adds to the log."""
-        last = F.when(F.col("side") == _LOW, F.col("low_block")).otherwise(F.col("high_block"))
-        within = sums.join(state.select(cls, "low_block", "high_block"), cls)
+    def round_(state: DataFrame, blocks: Sequence[int], number: int) -> None:
+        """Walks the segments in ``state``; adds to the log. A segment of ``block`` steps
+        needs no more than the rest of its first block and the next one of each side."""
+        parted = state.withColumns({"low_block": F.expr(f"a div {block}"), "high_block": F.expr(f"b div {block}")})
+        last = F.when(F.col("side") == _LOW, F.col("low_block")).otherwise(F.col("high_block")) + 1
+        within = sums.join(parted.select(cls, "seg", "low_block", "high_block"), cls)
         inner = (
             within.where((F.col("block") == -1) | (F.col("block") > last))
-            .groupBy(cls)
+            .groupBy(cls, "seg")
             .agg(F.sum("s").alias("inner_s"), F.sum("q").alias("inner_q"))
         )
-        current = state.join(inner, cls, "left").fillna(0.0, ["inner_s", "inner_q"])
+        current = parted.join(inner, [cls, "seg"], "left").fillna(0.0, ["inner_s", "inner_q"])
+        few = removable.where(F.col("block").isin(*blocks)) if len(blocks) <= 1000 else removable
         here = (
-            removable.where(F.col("block").isin(*blocks))
-            .drop("n", "k")
+            few.drop("n", "k")
             .join(current, cls)
-            .where(F.col("block") == last)
+            .where((F.col("block") == last) | (F.col("block") == last - 1))
         )
-        here.groupBy(cls).applyInPandas(walk, schema).write.mode("append").parquet(logs)
+        walked = here.groupBy(cls, "seg").applyInPandas(walk, schema)
+        walked.write.mode("append").parquet(f"{logs}/round={number}")
 
     zero = F.lit(0).cast("long")
-    start = known.where("k > 0").select(
-        cls, "n", "k", *[zero.alias(c) for c in ("step", "a", "b", "low_block", "high_block")]
+    short = known.where((F.col("k") > 0) & (F.col("k") <= block)).select(
+        cls, "n", F.col("k").alias("stop"), *[zero.alias(c) for c in ("seg", "step", "a", "b")]
     )
-    # A class of one block per side is through after this, however many there are.
-    round_(start, [0])
-    steps = spark.read.schema(schema).parquet(logs)
-    seen: dict | None = None
-    while True:
-        at = steps.groupBy(cls).agg(F.max(F.struct("step", "a", "b")).alias("at"))
-        left = (
-            known.where(F.col("k") > block)
-            .join(at, cls)
-            .where(F.col("at.step") < F.col("k"))
-            .select(
-                cls, "n", "k", "at.*",
-                F.expr(f"at.a div {block}").alias("low_block"), F.expr(f"at.b div {block}").alias("high_block"),
-            )
-        )
-        # Classes with more removable values than a block: at most one per ten blocks of rows.
-        now = left.collect()
-        moved = {r[cls]: r["step"] for r in now}
-        if not now or moved == seen:
-            break
-        seen = moved
-        round_(spark.createDataFrame(now, left.schema), sorted({r[c] for r in now for c in ("low_block", "high_block")}))
-        steps = spark.read.schema(schema).parquet(logs)
+    # Classes of one segment are through after this, however many there are.
+    round_(short, [0], 0)
+    steps = spark.read.schema(schema).parquet(f"{logs}/round=0")
+
+    sizes = {r[cls]: (r["n"], r["k"]) for r in known.where(F.col("k") > block).select(cls, "n", "k").collect()}
+    if sizes:
+        begins = _guesses(spark, known.where(F.col("k") > block), removable, sums, cls, cls_type, block)
+        for c, (_, k_) in sizes.items():
+            for seg in range(-(-k_ // block)):
+                begins.setdefault((c, seg), (seg * block // 2, seg * block - seg * block // 2))
+            begins[c, 0] = (0, 0)
+        settled = _settled(spark, begins, sizes, round_, f"{cls} {cls_type}", schema, logs, block)
+        long_steps = spark.read.schema(f"{schema}, round int").parquet(logs)
+        valid = spark.createDataFrame([(c, seg, r) for (c, seg), r in settled.items()], f"{cls} {cls_type}, seg long, round int")
+        steps = steps.unionByName(long_steps.join(valid, [cls, "seg", "round"], "left_semi").drop("round"))
     decided = steps.groupBy(cls).agg(
         F.coalesce(F.max(F.when(F.col("r_stat") > F.col("critical"), F.col("step"))), F.lit(0)).alias("_s")
     )
@@ -356,6 +382,59 @@ def gesd_steps(
     )
 
 
+def _guesses(
+    spark: SparkSession, known: DataFrame, removable: DataFrame, sums: DataFrame, cls: str, cls_type: str, block: int
+) -> dict[tuple, tuple[int, int]]:
+    """Where the segments of the long classes may begin: a walk over cells of ranks, a
+    sixty-fourth of a segment wide, or as wide as it takes for a million cells."""
+    wide = F.greatest(F.lit(max(1, block // 64)), F.ceil(F.col("k") / 1_000_000)).cast("long")
+    totals = sums.groupBy(cls).agg(F.sum("s").alias("total"))
+    classes = known.select(cls, "n", "k", wide.alias("wide")).join(totals, cls)
+    cells = (
+        removable.select(cls, "side", "rank", "dev")
+        .join(classes.select(cls, "wide"), cls)
+        .groupBy(cls, "side", F.expr("rank div wide").alias("cell"))
+        .agg(F.sum("dev").alias("s"), F.min("dev").alias("least"), F.max("dev").alias("most"))
+    )
+    found = cells.join(classes, cls).groupBy(cls).applyInPandas(_guesser(cls, block), f"{cls} {cls_type}, seg long, a long, b long")
+    return {(r[cls], r["seg"]): (r["a"], r["b"]) for r in found.collect()}  # two numbers per segment
+
+
+def _settled(
+    spark: SparkSession, begins: dict, sizes: dict, walk_round, cls_field: str, schema: str, logs: str, block: int
+) -> dict[tuple, int]:
+    """Walks segments until each begins where the one before it ended; returns the round
+    that holds the log of each segment that the walk reaches."""
+    cls = cls_field.split()[0]
+    ends: dict[tuple, tuple[int, int, int]] = {}
+    rounds: dict[tuple, int] = {}
+    todo, number = set(begins), 0
+    while todo:
+        number += 1
+        rows = [
+            (c, sizes[c][0], min(sizes[c][1], (seg + 1) * block), seg, seg * block, *begins[c, seg]) for c, seg in sorted(todo, key=str)
+        ]
+        state = spark.createDataFrame(rows, f"{cls_field}, n long, stop long, seg long, step long, a long, b long")
+        blocks = sorted({x // block + d for _, _, _, _, _, a, b in rows for x in (a, b) for d in (0, 1)})
+        walk_round(state, blocks, number)
+        log = spark.read.schema(schema).parquet(f"{logs}/round={number}")
+        for key in todo:
+            rounds[key], ends[key] = number, (key[1] * block, *begins[key])
+        for r in log.groupBy(cls, "seg").agg(F.max(F.struct("step", "a", "b")).alias("end")).collect():
+            ends[r[cls], r["seg"]] = tuple(r["end"])
+        todo, reached = set(), set()
+        for c, (_, k) in sizes.items():
+            for seg in range(-(-k // block)):
+                reached.add((c, seg))
+                done, *at = ends[c, seg]
+                if done < min(k, (seg + 1) * block) or done == k:
+                    break  # the walk ends here
+                if tuple(at) != begins[c, seg + 1]:
+                    begins[c, seg + 1] = tuple(at)
+                    todo.add((c, seg + 1))
+    return {key: rounds[key] for key in reached}
+
+
 def gesd(
     df: DataFrame,
     cls: str,

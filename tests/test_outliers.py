@@ -58,6 +58,48 @@ def test_equals_brute_force(spark, seed, block):
     assert marked(spark, groups, block=block) == expected
 
 
+def long_groups():
+    rng = np.random.default_rng(11)
+    return {
+        "even": rng.normal(size=5000),
+        "skewed": rng.lognormal(sigma=1.2, size=6000),
+        "ties": np.round(rng.normal(size=4000), 1),
+        "lumps": np.concatenate([rng.normal(size=3000), np.full(200, 40.0), np.full(150, -55.0), rng.normal(60, 0.01, 100)]),
+        "short": rng.normal(size=300),
+    }
+
+
+def walked(spark, monkeypatch, groups, block):
+    rounds, inner = [], outliers._settled
+
+    def counted(spark, begins, sizes, walk_round, *rest):
+        def round_(state, blocks, number):
+            rounds.append(state.count())
+            walk_round(state, blocks, number)
+
+        return inner(spark, begins, sizes, round_, *rest)
+
+    monkeypatch.setattr(outliers, "_settled", counted)
+    return marked(spark, groups, block=block), rounds
+
+
+def test_segments_walked_at_once_equal_brute_force(spark, monkeypatch):
+    groups = long_groups()
+    expected = {c: brute_force(v, [f"{i:05d}" for i in range(len(v))]) for c, v in groups.items()}
+    got, rounds = walked(spark, monkeypatch, groups, 130)
+    assert got == expected and all(expected[c] for c in ("skewed", "lumps"))
+    # 500, 600, 400 and 345 steps in segments of 130: walked once, again from their true beginnings, and settled.
+    assert rounds[0] == 4 + 5 + 4 + 3 and len(rounds) <= 3
+
+
+def test_bad_guesses_cost_rounds_only(spark, monkeypatch):
+    groups = {"skewed": long_groups()["skewed"]}
+    expected = {c: brute_force(v, [f"{i:05d}" for i in range(len(v))]) for c, v in groups.items()}
+    monkeypatch.setattr(outliers, "_guesses", lambda *_: {("skewed", j): (j * 130, 0) for j in range(5)})
+    got, rounds = walked(spark, monkeypatch, groups, 130)
+    assert got == expected and len(rounds) <= 5
+
+
 def test_given_number_of_steps(spark):
     groups = {c: v for c, v in samples(4).items() if len(v) > 30}
     expected = {c: brute_force(v, [f"{i:05d}" for i in range(len(v))], k=9) for c, v in groups.items()}
