@@ -21,7 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.keep(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

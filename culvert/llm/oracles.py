@@ -42,37 +42,35 @@ WITH texts AS (
          n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_share, word_chars * 10 // greatest(n_words, 1) AS word_length
   FROM base
 ), long AS (
-  SELECT doc_id, lang, source, base_failed, u.m AS measure, u.v AS value, u.least AS least
-  FROM (SELECT *, unnest([{{'m': 'symbol_share', 'v': symbol_share, 'least': 60}}, {{'m': 'dup_line_share', 'v': dup_line_share, 'least': 300}},
-                          {{'m': 'repeat_share', 'v': repeat_share, 'least': 100}}, {{'m': 'word_length', 'v': word_length, 'least': 40}}]) AS u
+  SELECT doc_id, lang, source, base_failed, u.m AS measure, u.both AS both_ends,
+         (u.v >> greatest(length(bin(u.v)) - 5, 0)) << greatest(length(bin(u.v)) - 5, 0) AS bucket
+  FROM (SELECT *, unnest([{{'m': 'symbol_share', 'v': symbol_share, 'both': false}}, {{'m': 'dup_line_share', 'v': dup_line_share, 'both': false}},
+                          {{'m': 'repeat_share', 'v': repeat_share, 'both': false}}, {{'m': 'word_length', 'v': word_length, 'both': true}}]) AS u
         FROM measures)
-), buckets AS (
-  SELECT lang, source, measure, least, (value >> greatest(length(bin(value)) - 5, 0)) << greatest(length(bin(value)) - 5, 0) AS bucket
-  FROM long WHERE NOT base_failed
-), levels AS (
-  SELECT 1 AS level, lang, source, measure, least, bucket FROM buckets
-  UNION ALL SELECT 2, lang, '', measure, least, bucket FROM buckets
-  UNION ALL SELECT 3, '', '', measure, least, bucket FROM buckets
 ), sketch AS (
-  SELECT level, lang, source, measure, least, bucket, count(*) AS n FROM levels GROUP BY ALL
+  SELECT lang, source, measure, bucket, count(*) AS n FROM long WHERE NOT base_failed GROUP BY ALL
+), levels AS (
+  SELECT 1 AS level, lang, source, measure, bucket, n FROM sketch
+  UNION ALL SELECT 2, lang, '', measure, bucket, n FROM sketch
+  UNION ALL SELECT 3, '', '', measure, bucket, n FROM sketch
+), merged AS (
+  SELECT level, lang, source, measure, bucket, sum(n) AS n FROM levels GROUP BY ALL
 ), ranked AS (
   SELECT *, sum(n) OVER (grp ORDER BY bucket) AS upto, sum(n) OVER grp AS total
-  FROM sketch WINDOW grp AS (PARTITION BY level, lang, source, measure)
-), quantiles AS (
-  SELECT level, lang, source, measure, least, max(total) AS n,
-         min(bucket) FILTER (upto * 100 >= total * 25) AS q25, min(bucket) FILTER (upto * 100 >= total * 50) AS q50,
-         min(bucket) FILTER (upto * 100 >= total * 75) AS q75
+  FROM merged WINDOW grp AS (PARTITION BY level, lang, source, measure)
+), outer_ AS (
+  SELECT level, lang, source, measure, max(total) AS n, min(bucket) FILTER (upto * 1000 >= total * 10) AS low,
+         min(bucket) FILTER (upto * 1000 >= total * 990) AS high
   FROM ranked GROUP BY ALL
+), languages AS (
+  SELECT l.lang, l.measure, (l.low * l.n + c.low * 200) // (l.n + 200) AS low, (l.high * l.n + c.high * 200) // (l.n + 200) AS high
+  FROM outer_ l JOIN outer_ c ON c.level = 3 AND c.measure = l.measure WHERE l.level = 2
 ), ranges AS (
-  SELECT *, q50 - greatest(least, 6 * (q50 - q25)) AS low, q50 + greatest(least, 6 * (q75 - q50)) AS high FROM quantiles
+  SELECT g.lang, g.source, g.measure, (g.low * g.n + l.low * 200) // (g.n + 200) AS low, (g.high * g.n + l.high * 200) // (g.n + 200) AS high
+  FROM outer_ g JOIN languages l ON l.lang = g.lang AND l.measure = g.measure WHERE g.level = 1
 ), judged AS (
-  SELECT l.doc_id, bool_and(l.value BETWEEN
-           CASE WHEN a.n >= 200 THEN a.low WHEN b.n >= 200 THEN b.low ELSE c.low END AND
-           CASE WHEN a.n >= 200 THEN a.high WHEN b.n >= 200 THEN b.high ELSE c.high END) AS inside
-  FROM long l
-  JOIN ranges a ON a.level = 1 AND a.lang = l.lang AND a.source = l.source AND a.measure = l.measure
-  JOIN ranges b ON b.level = 2 AND b.lang = l.lang AND b.measure = l.measure
-  JOIN ranges c ON c.level = 3 AND c.measure = l.measure
+  SELECT l.doc_id, bool_and(l.bucket <= r.high AND (NOT l.both_ends OR l.bucket >= r.low)) AS inside
+  FROM long l JOIN ranges r ON r.lang = l.lang AND r.source = l.source AND r.measure = l.measure
   GROUP BY l.doc_id
 )
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -98,7 +96,7 @@ FROM documents d LEFT JOIN covered c ON d.doc_id = c.doc_id
 GROUP BY d.doc_id
 """
 
-_LINES = f"""
+_LINES = rf"""
 WITH every AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k
   FROM documents WHERE text IS NOT NULL
@@ -107,9 +105,11 @@ WITH every AS (
 ), pairs AS (
   SELECT doc_id, k, line, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS follower FROM counted
 ), later AS (
-  SELECT doc_id, k, follower IS NOT NULL AND row_number() OVER (PARTITION BY line, follower ORDER BY doc_id, k) > 1 AS again FROM pairs
+  SELECT doc_id, k, follower IS NOT NULL AND row_number() OVER (PARTITION BY line, follower ORDER BY doc_id, k) > 1 AS again,
+         len(string_split_regex(line, '[\x20\x09-\x0D]+')) >= 8 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, k) > 1 AS alone
+  FROM pairs
 ), covered AS (
-  SELECT doc_id, k, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY k), false) AS gone FROM later
+  SELECT doc_id, k, alone OR again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY k), false) AS gone FROM later
 ), cleaned AS (
   SELECT e.doc_id, count(c.k) AS n_lines, count(*) FILTER (c.gone) AS n_removed,
          string_agg(e.line, chr(10) ORDER BY e.k) FILTER (NOT coalesce(c.gone, false)) AS text

@@ -4,18 +4,22 @@ All measures are integers. Per language and source, a sketch holds how many docu
 fall into each bucket of a measure; buckets keep a value's leading binary digits, so a
 sketch has a bounded number of buckets, its quantiles are at most 1/32 off, and
 sketches merge by adding counts: those of a language's sources make the language's,
-all languages' make the corpus'. A document goes if a measure lies beyond the range
-that its group's quantiles span. Everything is DataFrame expressions.
+all languages' make the corpus'. The bounds of a language are the outer quantiles of its
+sketch, averaged with the corpus' as if these came from ``PRIOR`` documents more; those
+of a group are averaged with its language's in the same way. So a group of a few
+documents goes by its language, one of many by itself, with no step between. A document
+goes if a measure lies beyond the bounds.
+Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from culvert.llm.frames import ROW
+from culvert.llm.frames import ROW, stored
 
 #: Words are parted, and lines judged blank, by this white space.
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -25,13 +29,12 @@ _SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 10, 20
 _SPAN = 5
 
-#: Measures per document, with the smallest distance from the median at which a
-#: document may go, whatever the spread of its group is.
-MEASURES = {"symbol_share": 60, "dup_line_share": 300, "repeat_share": 100, "word_length": 40}
-#: Range around the median, in distances of the upper and lower quartile from it.
-SPREAD = 6
-#: Documents that a group's sketch needs to be used; else its language's is, then the corpus'.
-LEAST_GROUP = 200
+#: Measures per document, and whether unusually low values count as well.
+MEASURES = {"symbol_share": False, "dup_line_share": False, "repeat_share": False, "word_length": True}
+#: Documents of a thousand beyond an outer quantile.
+TAIL = 10
+#: Documents as which a language's bounds count in its groups, and the corpus' in languages.
+PRIOR = 200
 #: Binary digits that a bucket keeps.
 _DIGITS = 5
 
@@ -131,30 +134,38 @@ def sketches(measures: DataFrame) -> DataFrame:
     )
 
 
-def _ranges(sketch: DataFrame, *by: str) -> DataFrame:
-    """Per group the accepted range of each measure, one column per bound, and ``n``."""
+def _outer(sketch: DataFrame, *by: str) -> DataFrame:
+    """Per group and measure the number of documents and the outer quantiles."""
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")  # as many rows as a sketch has buckets
-    ranked = merged.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("all", F.sum("n").over(group))
+    ranked = merged.withColumns({"upto": F.sum("n").over(group.orderBy("bucket")), "all": F.sum("n").over(group)})
 
-    def quantile(q: int) -> Column:
-        return F.min(F.when(F.col("upto") * 100 >= F.col("all") * q, F.col("bucket")))
+    def quantile(permille: int) -> Column:
+        return F.min(F.when(F.col("upto") * 1000 >= F.col("all") * permille, F.col("bucket")))
 
-    q = ranked.groupBy(*by, "measure").agg(
-        F.max("all").alias("n"), quantile(25).alias("q25"), quantile(50).alias("q50"), quantile(75).alias("q75")
+    return ranked.groupBy(*by, "measure").agg(
+        F.max("all").alias("n"), quantile(TAIL).alias("low"), quantile(1000 - TAIL).alias("high")
     )
-    least = F.create_map(*[F.lit(x) for pair in MEASURES.items() for x in pair])[F.col("measure")]
-    bounds = q.select(
-        *by,
-        "measure",
-        "n",
-        (F.col("q50") - F.greatest(least, SPREAD * (F.col("q50") - F.col("q25")))).alias("low"),
-        (F.col("q50") + F.greatest(least, SPREAD * (F.col("q75") - F.col("q50")))).alias("high"),
-    )
-    wide = [F.max("n").alias("n")]
-    for m in MEASURES:
-        wide += [F.max(F.when(F.col("measure") == m, F.col(b))).alias(f"{b}_{m}") for b in ("low", "high")]
-    return bounds.groupBy(*by).agg(*wide)
+
+
+def _averaged(own: DataFrame, wider: DataFrame, on: list[str]) -> DataFrame:
+    """The bounds of ``own`` with those of ``wider`` as from ``PRIOR`` documents more."""
+    other = wider.select(*on, F.col("low").alias("low_w"), F.col("high").alias("high_w"))
+    both = own.join(other, on)
+    new = {b: F.expr(f"({b} * n + {b}_w * {PRIOR}) div (n + {PRIOR})") for b in ("low", "high")}
+    return both.withColumns(new).drop("low_w", "high_w")
+
+
+def thresholds(measures: DataFrame) -> DataFrame:
+    """Bounds per ``_lang`` and ``_source`` of the rows that pass the base rules, one
+    column each; the buckets of accepted values lie between them, ends included."""
+    sketch = sketches(measures)
+    language = _averaged(_outer(sketch, "_lang"), _outer(sketch), ["measure"])
+    bounds = _averaged(_outer(sketch, "_lang", "_source"), language, ["_lang", "measure"])
+    wide = []
+    for m, both in MEASURES.items():
+        wide += [F.max(F.when(F.col("measure") == m, F.col(b))).alias(f"{b}_{m}") for b in (("low", "high") if both else ("high",))]
+    return bounds.groupBy("_lang", "_source").agg(*wide)
 
 
 def _known(col: str) -> Column:
@@ -162,38 +173,59 @@ def _known(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(ROW)[col].cast("string")), F.lit(""))
 
 
-def thresholds(measures: DataFrame) -> DataFrame:
-    """Ranges per ``_lang`` and ``_source`` of the rows that pass the base rules; small
-    groups get those of the merged sketches."""
-    sketch = sketches(measures)
-    bounds = [f"{b}_{m}" for m in MEASURES for b in ("low", "high")]
-    own = _ranges(sketch, "_lang", "_source")
-    language = _ranges(sketch, "_lang").withColumnsRenamed({b: f"l_{b}" for b in ["n", *bounds]})
-    corpus = _ranges(sketch.withColumn("_all", F.lit(0)), "_all").drop("_all").withColumnsRenamed({b: f"c_{b}" for b in ["n", *bounds]})
-    joined = own.join(language, "_lang").join(corpus.hint("broadcast"), how="cross")  # one row
-    chosen = [
-        F.when(F.col("n") >= LEAST_GROUP, F.col(b)).when(F.col("l_n") >= LEAST_GROUP, F.col(f"l_{b}")).otherwise(F.col(f"c_{b}")).alias(b)
-        for b in bounds
-    ]
-    return joined.select("_lang", "_source", *chosen)
+_NEW = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def verdicts(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carry: Sequence[str] = ()
+) -> DataFrame:
+    """``(_key, _key2, carry..., measures, base_failed, kept)``, one row per row of
+    ``docs``, without its text. The measures are computed once and stored; the keys are
+    two hashes of text, language and source, on which alone a verdict depends."""
+    parts = [F.col(ROW)[c] for c in (text_col, lang_col, source_col)]
+    rows = measured(docs, text_col).withColumns(
+        _shares()
+        | {"_lang": _known(lang_col), "_source": _known(source_col)}
+        | {"_key": F.xxhash64(*parts), "_key2": F.xxhash64(F.lit(_DIGITS), *parts)}
+        | {f"_carry_{c}": F.col(ROW)[c] for c in carry}
+    )
+    kept = stored(rows.drop(ROW, "_lines"), "measures")
+    inside = F.lit(True)
+    for m, both in MEASURES.items():
+        inside = inside & (_bucket(F.col(m)) <= F.col(f"high_{m}"))
+        if both:
+            inside = inside & (_bucket(F.col(m)) >= F.col(f"low_{m}"))
+    # Stored, so Spark knows how few bounds there are and need not deal the rows by group.
+    bounds = stored(thresholds(kept), "thresholds")
+    out = kept.join(bounds, ["_lang", "_source"], "left").withColumn(
+        "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
+    )
+    return out.select("_key", "_key2", *[F.col(f"_carry_{c}").alias(c) for c in carry], *_NEW)
+
+
+def _keyed(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+    parts = [F.col(ROW)[c] for c in (text_col, lang_col, source_col)]
+    return whole.withColumns({"_key": F.xxhash64(*parts), "_key2": F.xxhash64(F.lit(_DIGITS), *parts)})
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``docs`` with the measures of ``measured``, ``base_failed`` and ``kept`` more.
 
     ``kept`` is false for documents that fail the base rules, and for those with a
-    measure outside the range of their language and source. The ranges come from all
-    documents that pass the base rules; a missing language or source is a group of its
-    own. Repeated rows count as often as they occur; ids are not used. Columns of the
-    same names as the new ones are replaced.
+    measure beyond the outer quantiles of their language and source; values in the same
+    bucket as a bound stay. The quantiles come from all documents that pass the base
+    rules; a missing language or source is a group of its own. Repeated rows count as
+    often as they occur; ids are not used. Columns of the same names as the new ones
+    are replaced. An empty table gives no rows.
     """
-    rows = measured(docs, text_col).withColumns(_shares() | {"_lang": _known(lang_col), "_source": _known(source_col)})
-    ranges = thresholds(rows)
-    inside = F.lit(True)
-    for m in MEASURES:
-        inside = inside & F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}"))
-    out = rows.join(ranges, ["_lang", "_source"], "left").withColumn(
-        "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
-    )
-    new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return out.select(*[F.col(ROW)[c].alias(c) for c in docs.columns if c not in new], *new)
+    found = verdicts(docs, text_col, lang_col, source_col).dropDuplicates(["_key", "_key2"])
+    out = _keyed(docs, text_col, lang_col, source_col).join(found, ["_key", "_key2"])
+    return out.select(*[F.col(ROW)[c].alias(c) for c in docs.columns if c not in _NEW], *_NEW)
+
+
+def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps."""
+    found = verdicts(docs, text_col, lang_col, source_col).where("NOT kept").select("_key", "_key2").distinct()
+    out = _keyed(docs, text_col, lang_col, source_col).join(stored(found, "rejected"), ["_key", "_key2"], "left_anti")
+    return out.select(*[F.col(ROW)[c].alias(c) for c in docs.columns])

@@ -43,7 +43,7 @@ def op2_langid(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return quality.judge(docs).drop("text", "lang", "source")
+    return quality.verdicts(docs, carry=["doc_id"]).drop("_key", "_key2")
 
 
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:

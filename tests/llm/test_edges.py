@@ -101,6 +101,27 @@ def test_quality(spark, docs):
     assert quality.judge(empty(spark)).count() == 0
 
 
+def test_quality_bounds_follow_each_group(spark):
+    """Two groups of 150 and 300 texts, alike in all but the length of their words, and a
+    few texts of a third one; no bound is the same for all."""
+    rng = np.random.default_rng(4)
+
+    def text(least, most):
+        return " ".join("x" * int(n) + str(k) for k, n in enumerate(rng.integers(least, most, 40)))
+
+    data = [(k, text(2, 5), "en", "a", None) for k in range(150)] + [(200 + k, text(8, 12), "en", "b", None) for k in range(300)]
+    data += [(600 + k, text(2, 5), "de", "c", None) for k in range(5)] + [(700, text(30, 31), "en", "a", None), (701, text(60, 61), "en", "b", None)]
+    docs = edge.documents(spark, data)
+    rows = quality.measured(docs).withColumns(quality._shares() | {"_lang": quality._known("lang"), "_source": quality._known("source")})
+    bounds = {(r._lang, r._source): r for r in quality.thresholds(rows).collect()}
+    a, b, c = (bounds[k] for k in (("=en", "=a"), ("=en", "=b"), ("=de", "=c")))
+    assert a.low_word_length < b.low_word_length or a.high_word_length < b.high_word_length
+    assert set(bounds) == {("=en", "=a"), ("=en", "=b"), ("=de", "=c")} and c.high_word_length >= a.low_word_length
+    kept = {r.doc_id for r in quality.keep(docs).collect()}
+    judged = {r.doc_id: r.kept for r in quality.judge(docs).collect()}
+    assert kept == {k for k, v in judged.items() if v} and 701 not in kept and len(kept) > 430
+
+
 def test_bpe(spark, docs):
     from tokenizers import Tokenizer
 
