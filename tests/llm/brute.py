@@ -63,18 +63,21 @@ def cut_words(texts: list[str], window: int = 20) -> list[tuple[str, int, int]]:
     return out
 
 
-def cut_lines(texts: list[str], run: int = 2) -> list[tuple[str, int, int]]:
+def cut_lines(texts: list[str], run: int = 2, long_line: int = 8) -> list[tuple[str, int, int]]:
     seen, out = set(), []
     for text in texts:
         lines = text.split("\n")
         places = [k for k, line in enumerate(lines) if line.strip(BLANK)]
         held = [lines[k].strip(BLANK) for k in places]
         drop = set()
-        for s in range(len(held) - run + 1):
-            key = tuple(held[s : s + run])
-            if key in seen:
-                drop.update(places[s : s + run])
-            seen.add(key)
+        for s in range(len(held)):
+            for size in (1, run):
+                key = tuple(held[s : s + size])
+                if len(key) < size or (size == 1 and len(WORD.findall(held[s])) < long_line):
+                    continue
+                if key in seen:
+                    drop.update(places[s : s + size])
+                seen.add(key)
         out.append(("\n".join(x for k, x in enumerate(lines) if k not in drop), len(places), len(drop)))
     return out
 

@@ -31,7 +31,7 @@ def run(spark, key):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_op1(spark, docs):
