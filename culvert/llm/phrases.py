@@ -9,8 +9,9 @@ its chunk, and only where they begin in a chunk's own words, so what two chunks
 is counted once.
 
 Passes over the dictionary narrow down what is counted by its text: hashes of words,
-then hashes of pairs of words that are frequent themselves, then phrases all of whose
-pairs are frequent, and at last the words of these. What is frequent by hash is kept in
+then hashes of pairs of words that are frequent themselves, then hashes of longer
+phrases all of whose pairs are frequent, then the phrases left by their text, and at
+last the words of these. What is frequent by hash is kept in
 a bit map of fixed size; collisions let more through, never less, and the counts by text
 decide.
 """
@@ -202,18 +203,43 @@ def _pair_hashes(p: Parsed, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return _pair_hash(p.hashes[pairs // known], p.hashes[pairs % known]), total
 
 
-def _phrases(p: Parsed, frequent: np.ndarray, paired: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Language, text, words and weight of the phrases of two words or more that may be frequent."""
-    known = max(1, len(p.hashes))
+def _linked(p: Parsed, frequent: np.ndarray, paired: np.ndarray) -> np.ndarray:
+    """Is each word frequent, and the pair with the next one?"""
     often = _hit(frequent, p.hashes)[p.number]
     linked = np.zeros(len(often), bool)
     i = np.flatnonzero(often[:-1] & often[1:] & p.follows[:-1])
     linked[i] = _hit(paired, _pair_hash(p.hashes[p.number[i]], p.hashes[p.number[i + 1]]))
+    return linked
+
+
+def _long_hashes(p: Parsed, frequent: np.ndarray, paired: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of three words or more, all of whose pairs are frequent."""
+    linked = _linked(p, frequent, paired)
+    start = np.flatnonzero(linked & (p.weight > 0))
+    hashes = _pair_hash(p.hashes[p.number[start]], p.hashes[p.number[start + 1]])
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for length in range(3, LONGEST + 1):
+        on = linked[start + length - 2]
+        start = start[on]
+        hashes = _pair_hash(hashes[on], p.hashes[p.number[start + length - 1]])
+        distinct, _, total, _ = _summed(hashes, p.weight[start])
+        found.append((distinct, total))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def _phrases(p: Parsed, frequent: np.ndarray, paired: np.ndarray, longer: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Language, text, words and weight of the phrases of two words or more that may be frequent."""
+    known = max(1, len(p.hashes))
+    linked = _linked(p, frequent, paired)
     start = np.flatnonzero(linked & (p.weight > 0))
-    code = p.number[start]
+    code, hashes = p.number[start], p.hashes[p.number[start]]
     for length in range(2, LONGEST + 1):
         on = linked[start + length - 2]
         start, code = start[on], code[on]
+        hashes = _pair_hash(hashes[on], p.hashes[p.number[start + length - 1]])
+        if length > 2:
+            on = _hit(longer, hashes)
+            start, code, hashes = start[on], code[on], hashes[on]
         _, place, total, code = _summed(code * known + p.number[start + length - 1], p.weight[start])
         words = [p.text.take(pa.array(p.number[start[place] + k])) for k in range(length)]
         yield _counted(p, start[place], pa.compute.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())), length, total)
@@ -283,9 +309,10 @@ def phrase_counts(dictionary: DataFrame, least: int = 100, bits: int = BITS) ->
         found = dictionary.mapInArrow(run, "lang string, phrase string, words int, n long")
         return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
 
-    longer = stored(counted(lambda p: _phrases(p, frequent.value, paired.value)), "phrases")
-    wanted = share(_spoken(longer, bits))
-    return longer.unionByName(counted(lambda p: _words(p, wanted.value)))
+    longer = share(_frequent(dictionary, lambda p: _long_hashes(p, frequent.value, paired.value), least, bits))
+    found = stored(counted(lambda p: _phrases(p, frequent.value, paired.value, longer.value)), "phrases")
+    wanted = share(_spoken(found, bits))
+    return found.unionByName(counted(lambda p: _words(p, wanted.value)))
 
 
 def _part(words: Column, start: Column | int, length: Column) -> Column:
