@@ -42,9 +42,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, folder: str)
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of each document, and the text that they decode to."""
-    path = tokenizer_path()
-    tokens = bpe.encode(docs, path).drop("text").withColumn("n_tokens", F.size("tokens").cast("long"))
-    return bpe.decode(tokens, path, text_col="text")
+    tokens = bpe.encode(docs, tokenizer_path(), decoded_col="text")
+    names = [c for c in docs.columns if c not in ("text", "tokens", "n_tokens")]
+    return tokens.select(*names, "tokens", F.size("tokens").cast("long").alias("n_tokens"), "text")
 
 
 STAGES: list[tuple[str, Stage]] = [

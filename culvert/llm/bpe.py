@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import itertools
 import json
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +28,26 @@ from culvert.llm.frames import slices, texts
 # The pattern that parts texts into words, as published with the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Distinct words whose encodings a worker keeps from one batch to the next.
-KEEP = 400_000
-#: Pairs of tokens of which a worker remembers whether one may follow the other.
-PAIRS = 1_000_000
+# Code points that newer Unicode tables than those of the tokenizers library
+# hold as letters or digits, first and last of each range. To the library they are neither.
+NEWER = """
+0558-0558 058B-058C 088F-088F 0C5C-0C5C 0CDC-0CDC 208F-208F 209D-209F A7CE-A7CF
+A7D2-A7D2 A7D4-A7D4 A7DD-A7DD A7E2-A7E2 A7F1-A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+10EC5-10EC7 10ED9-10EEE 11B0A-11B0A 11DB0-11DDB 11DE0-11DE9 11DF1-11DF1 1246F-1246F
+12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA
+18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168-1B168 1D6A6-1D6A6
+1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5
+1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E-2B81E 2CEA2-2CEAD 323B0-33479
+3D000-3FC3F
+"""
+
+#: Bytes of encodings that a worker keeps from one batch to the next, in each of two generations.
+KEEP = 24 << 20
+#: Bytes that an entry costs beside its key and its value.
+_ENTRY = 96
+#: Pairs of tokens of which a worker remembers whether one may follow the other, and
+#: steps from a beginning of tokens by a byte.
+PAIRS, STEPS = 500_000, 500_000
 
 #: Rank of a pair that is never merged.
 _NEVER = 1 << 60
@@ -44,6 +61,9 @@ def _byte_marks() -> dict[str, int]:
 
 
 _BLANKS = regex.compile(r"\s\s|\s\Z")
+_NEWER = regex.compile("[" + "".join("\\U{:0>8}-\\U{:0>8}".format(*r.split("-")) for r in NEWER.split()) + "]")
+#: No letter, digit or white space in any table.
+_OTHER = "\ue000"
 
 
 class _Head(str):
@@ -69,6 +89,7 @@ class Codec:
         #: before it included), the latest ones and those before them.
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.held = 0  # bytes of the former
         self.size = {i: len(t) for i, t in self.token.items()}
         spelled = [self.token.get(i, b"") for i in range(1 + max(self.token))]
         self.lengths = np.array([len(t) for t in spelled])
@@ -176,18 +197,26 @@ class Codec:
             out[word], before = found, word
         if len(pairs) > PAIRS:
             pairs.clear()
+        if len(goto) > STEPS:
+            goto.clear()
         return out
 
+    def parted(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
+        if text.isascii() or not _NEWER.search(text):
+            return self.words.findall(text)
+        return [text[m.start() : m.end()] for m in self.words.finditer(_NEWER.sub(_OTHER, text))]
+
     def pieces(self, text: str) -> list[str | int]:
         """Words of a text in order, and the ids of special tokens that it spells out."""
         if not self.split or not any(s in text for s in self.special):
-            return self.words.findall(text)
+            return self.parted(text)
         out, at = [], 0
         for m in self.split.finditer(text):
-            out += self.words.findall(text[at : m.start()])
+            out += self.parted(text[at : m.start()])
             out.append(self.special[m.group()])
             at = m.end()
-        return out + self.words.findall(text[at:])
+        return out + self.parted(text[at:])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Token ids of each text as 32-bit numbers.
@@ -196,8 +225,8 @@ class Codec:
         between such blanks is encoded on its own, and once for all texts if it is
         seen again. Texts with white space in a row are parted by the pattern alone.
         """
-        if len(self.known) > KEEP:
-            self.known, self.before = {}, self.known
+        if self.held > KEEP:
+            self.known, self.before, self.held = {}, self.known, 0
         known, before = self.known, self.before
         rows: list[list] = []
         asked: set[str] = set()
@@ -219,13 +248,17 @@ class Codec:
                             asked.add(" " + part)
                         else:
                             found[k] = known[part] = f
+                            self.held += _cost(part, f)
             rows.append([_Head(head), *found])
             asked.add(head)
-        pieces = {chunk: self.words.findall(chunk) for chunk in asked}
+        pieces = {chunk: self.parted(chunk) for chunk in asked}
         ids = self.encode_words({p.encode() for p in set(itertools.chain.from_iterable(pieces.values()))})
         packed = {w.decode(): np.array(i, np.int32).tobytes() for w, i in ids.items()}
         new = {chunk: b"".join(map(packed.__getitem__, parts)) for chunk, parts in pieces.items()}
-        known.update((chunk[1:], code) for chunk, code in new.items() if chunk[:1] == " " and not _BLANKS.search(chunk))
+        for chunk, code in new.items():
+            if chunk[:1] == " " and not _BLANKS.search(chunk):
+                known[part := chunk[1:]] = code
+                self.held += _cost(part, code)
         out = []
         for row in rows:
             whole = row and isinstance(row[0], _Head)
@@ -243,24 +276,31 @@ class Codec:
         return [spelled[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise(borders)]
 
 
+def _cost(part: str, code: bytes) -> int:
+    return sys.getsizeof(part) + sys.getsizeof(code) + _ENTRY
+
+
 @functools.lru_cache(maxsize=2)
 def _codec(file: str) -> Codec:
     return Codec(file)
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, text_col: str = "text", decoded_col: str | None = None) -> DataFrame:
     """``docs`` with a column ``tokens`` (array of int) more, equal to what the tokenizers
     library gives for the vocabulary at ``path`` without special tokens added; a special
-    token that a text spells out is encoded as one.
+    token that a text spells out is encoded as one. With ``decoded_col``, a column of that
+    name more: what ``decode`` gives for the ids, in the same pass, so that a task needs one
+    Python worker with one vocabulary rather than two.
 
     Missing and empty texts have no tokens. Rows are independent of each other: repeated
-    rows, missing ids and other columns pass unchanged (a column ``tokens`` is replaced).
-    The vocabulary, a file of fixed size, is read by the driver and sent to the tasks.
+    rows, missing ids and other columns pass unchanged (columns of the new names are
+    replaced). The vocabulary, a file of fixed size, is read by the driver and sent to the tasks.
     """
     with open(path, encoding="utf-8") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())
     inputs, at = docs.columns, docs.columns.index(text_col)
-    names = [c for c in inputs if c != "tokens"]
+    names = [c for c in inputs if c not in ("tokens", decoded_col)]
+    new = ["tokens", decoded_col] if decoded_col else ["tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(file.value)
@@ -269,11 +309,15 @@ def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
                 batch = whole.slice(lo, hi - lo)
                 rows = codec.encode(batch.column(at).to_pylist())
                 offsets = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
-                found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+                ids = np.frombuffer(b"".join(rows), np.int32)
+                found = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
+                if decoded_col:
+                    found.append(pa.array(codec.decode(ids, offsets), pa.string()))
                 columns = {c: batch.column(k) for k, c in enumerate(inputs)}
-                yield pa.RecordBatch.from_arrays([*(columns[n] for n in names), found], names=[*names, "tokens"])
+                yield pa.RecordBatch.from_arrays([*(columns[n] for n in names), *found], names=[*names, *new])
 
-    schema = T.StructType([docs.schema[n] for n in names] + [T.StructField("tokens", T.ArrayType(T.IntegerType()))])
+    types = [T.ArrayType(T.IntegerType()), T.StringType()]
+    schema = T.StructType([docs.schema[n] for n in names] + [T.StructField(n, t) for n, t in zip(new, types, strict=False)])
     return docs.mapInArrow(run, schema)
 
 

@@ -47,9 +47,8 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = tokenizer_path()
-    tokens = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(tokens, path).select(
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode(docs, tokenizer_path(), decoded_col="decoded").select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("tokens").cast("array<string>"), ","), 256).alias("ids_sha256"),

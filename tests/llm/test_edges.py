@@ -9,6 +9,7 @@ import edge
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from culvert.llm import bpe, chat, decontaminate, html_extract, langid, lines, quality, secrets, simhash, substrings
 from culvert.llm.frames import row_key
@@ -122,9 +123,39 @@ def test_quality_bounds_follow_each_group(spark):
     assert kept == {k for k, v in judged.items() if v} and 701 not in kept and len(kept) > 430
 
 
-def test_bpe(spark, docs):
-    from tokenizers import Tokenizer
+def test_bpe_parts_words_as_the_library_does():
+    """Every code point beside a letter, a digit, a mark and a CJK character."""
+    library = Tokenizer.from_file(tokenizer_path())
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        codec = bpe.Codec(f.read())
+    points = [c for c in range(0x40000) if not 0xD800 <= c < 0xE000 and not 0xE100 <= c < 0xF800]
+    for lo in range(0, len(points), 20_000):
+        texts = [f"x{c}x1{c}1!{c}! {c}\u60c9" for c in map(chr, points[lo : lo + 20_000])]
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(g, np.int32).tolist() for g in codec.encode(texts)] == expected
+
+
+def test_bpe_keeps_a_bounded_number_of_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "KEEP", 20_000)
+    monkeypatch.setattr(bpe, "STEPS", 50)
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        file = f.read()
+    codec, fresh = bpe.Codec(file), bpe.Codec(file)
+    for k in range(30):
+        texts = [f"a w{k}x{j} {'long' * 50}{j} again" for j in range(40)]
+        assert codec.encode(texts) == [fresh.encode([t])[0] for t in texts]
+        assert len(codec.known) < 400 and len(codec.before) < 400 and codec.held < 60_000
+
+
+def test_bpe_decodes_in_the_same_pass(spark, docs):
+    path = tokenizer_path()
+    docs = docs.withColumn("decoded", F.lit("old"))
+    both = bpe.encode(docs, path, decoded_col="decoded")
+    assert both.columns == [c for c in docs.columns if c not in ("tokens", "decoded")] + ["tokens", "decoded"]
+    assert sorted(map(str, both.collect())) == sorted(map(str, bpe.decode(bpe.encode(docs, path), path).select(*both.columns).collect()))
 
+
+def test_bpe(spark, docs):
     library = Tokenizer.from_file(tokenizer_path())
     out = bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
     assert out.columns == [*docs.columns, "tokens", "decoded"]
