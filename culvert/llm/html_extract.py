@@ -14,9 +14,11 @@ main text.
 from __future__ import annotations
 
 import html as entities
+import bisect
 import itertools
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -45,7 +47,14 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements that end an open element of the first kind.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.DOTALL)
+#: Elements of other languages, in which a slash ends any element.
+_FOREIGN = frozenset(("svg", "math"))
+#: What surrounds reader comments, adverts, menus and forms inside an article.
+_NESTED = frozenset("aside nav form footer .comment .comments .advert .ad .ads .sidebar".split())
+
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/><]*+)((?:\"[^\"]*\"|'[^']*'|[^'\">]++)*+)>|<[!?][^>]*>", re.DOTALL)
+_HEAD = re.compile(r"</?[a-zA-Z][^\s/><]*+")
+_MARKED = re.compile("[\"'>]")
 _NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _PART = re.compile(r"[A-Za-z]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -58,13 +67,61 @@ class Block:
     linked: int
 
 
+class _Tags:
+    """Tags, comments and declarations of a page, found in time linear in it, whatever is
+    left open. A tag ends with the first ``>`` outside quotes; what has no end is text."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.marks, self.shut = page, page.rfind(">"), [], []
+
+    def next(self, at: int) -> re.Match | None:
+        """The first one from a place on."""
+        while (at := self.page.find("<", at)) >= 0:
+            if (not self.shut or self._ends(at)) and (m := _TAG.match(self.page, at)):
+                return m
+            if not self.shut:
+                self._look_ahead()
+            at += 1
+        return None
+
+    def _look_ahead(self) -> None:
+        """For each mark, read from the end of the page, whether a ``>`` outside quotes follows."""
+        self.marks = [m.start() for m in _MARKED.finditer(self.page)]
+        self.shut = [False] * (len(self.marks) + 1)
+        behind: dict[str, int] = {}  # the mark behind the next quote of a kind
+        for k in range(len(self.marks) - 1, -1, -1):
+            mark = self.page[self.marks[k]]
+            if mark == ">":
+                self.shut[k] = True
+            else:
+                self.shut[k] = mark in behind and self.shut[behind[mark]]
+                behind[mark] = k + 1
+
+    def _ends(self, at: int) -> bool:
+        if self.page.startswith("<!--", at):
+            return True
+        if self.page[at + 1 : at + 2] in ("!", "?"):
+            return self.last > at
+        head = _HEAD.match(self.page, at)
+        return head is not None and self.shut[bisect.bisect_left(self.marks, head.end())]
+
+
 def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks of a page in order, with references decoded and white space joined."""
+    """Leaf blocks of a page in order, with references decoded and white space joined. The
+    path of a block has the names around it, each once. A slash at the end of a tag closes
+    inline and foreign elements only; a silent element with one and no end tag is empty."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
+    opened: Counter[str] = Counter()  # of the stack
+    endless: set[str] = set()  # silent elements that don't end any more
     linked, path = 0, ()
     page = page or ""
+    tags = _Tags(page)
+
+    def leave(k: int) -> None:
+        opened.subtract(tag for tag, _ in stack[k:])
+        del stack[k:]
 
     def close() -> None:
         nonlocal linked, path
@@ -81,14 +138,14 @@ def blocks(page: str | None) -> list[Block]:
         if not parts and not text.strip():
             return
         if not parts:
-            path = tuple(itertools.chain.from_iterable(names for _, names in stack))
+            path = stack[-1][1] if stack else ()
         parts.append(text)
-        if any(tag == "a" for tag, _ in stack):
+        if opened["a"]:
             linked += len(text)
 
     at, size = 0, len(page)
     while at < size:
-        m = _TAG.search(page, at)
+        m = tags.next(at)
         if m is None:
             say(page[at:])
             break
@@ -101,13 +158,20 @@ def blocks(page: str | None) -> list[Block]:
         if m[1]:
             if tag not in INLINE:
                 close()
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if opened[tag]:
+                leave(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
             continue
-        if tag in SILENT and not m[3].endswith("/"):
+        slash = m[3].endswith("/")
+        if tag in SILENT:
+            if slash and (tag in _FOREIGN or tag in endless):
+                continue
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else size
+            if end:
+                at = end.end()
+            elif slash:
+                endless.add(tag)
+            else:
+                at = size
             continue
         if tag in INLINE:
             if tag == "br" and parts:
@@ -117,12 +181,15 @@ def blocks(page: str | None) -> list[Block]:
             ends = _ENDS.get(tag, set()) | {"p"}
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in ends:
-                    del stack[k:]
+                    leave(k)
                     break
                 if stack[k][0] not in INLINE:
                     break
-        if tag not in VOID and not m[3].endswith("/"):
-            stack.append((tag, (tag, *_names(m[3]))))
+        if tag not in VOID and not (slash and tag in INLINE):
+            above = stack[-1][1] if stack else ()
+            new = [n for n in dict.fromkeys((tag, *_names(m[3]))) if n not in above]
+            stack.append((tag, (*above, *new) if new else above))
+            opened[tag] += 1
     close()
     return out
 
@@ -320,6 +387,12 @@ def _imagined(rng: np.random.Generator, prose: list[str], others: list[str]) ->
     return f"<html><head><title>{others[int(rng.integers(len(others)))]}</title></head><body>{page}</body></html>"
 
 
+def _labelled(path: tuple[str, ...]) -> bool:
+    """Inside an article or main element, and not in what may be nested in one."""
+    at = min((path.index(n) for n in ("article", "main") if n in path), default=len(path))
+    return at < len(path) and _NESTED.isdisjoint(path[at:])
+
+
 def train(pages: list[str], seed: int = 7) -> Network | None:
     """Fits the network; None if no page has text. Pages without a labelled region are
     used only if no page has one."""
@@ -328,7 +401,7 @@ def train(pages: list[str], seed: int = 7) -> Network | None:
     cases = []
     prose, others = [], []
     for page in read:
-        inside = np.array(["article" in b.path or "main" in b.path for b in page], np.float32)
+        inside = np.array([_labelled(b.path) for b in page], np.float32)
         if inside.any():
             cases.append((vectors(page), inside))
             for b, main in zip(page, inside, strict=True):
@@ -388,21 +461,19 @@ def label(net: Network, pages: list[list[Block]]) -> list[np.ndarray]:
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Network | None:
-    """Trains on at most ``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, those
-    first in the order of a hash, of the pages with an article or main element if there
-    are any. Fails if all pages are longer."""
+    """Trains on the first ``SAMPLE_CHARS`` characters of at most ``SAMPLE`` pages, those
+    first in the order of a hash, of the pages with an article or main element there if
+    there are any. (What is extracted comes from whole pages.)"""
     order = F.xxhash64(F.col(id_col).cast("string"), F.length(html_col))
-    usable = pages.where(F.length(html_col).between(1, SAMPLE_CHARS))
+    usable = pages.where(F.length(html_col) > 0).withColumns({html_col: F.substring(html_col, 1, SAMPLE_CHARS), "_order": order})
     labelled = F.col(html_col).rlike(_LABELLED)
     n, n_labelled = usable.agg(F.count("*"), F.count(F.when(labelled, 1))).first()
-    if not n and pages.where(F.length(html_col) > SAMPLE_CHARS).limit(1).count():
-        raise ValueError(f"no page of at most {SAMPLE_CHARS} characters to learn from")
     if n_labelled:
         usable, n = usable.where(labelled), n_labelled
     # A part that follows from the count first: a task then sends the driver few pages.
     share = 4.0 * SAMPLE / max(1, n)
-    part = usable.where(F.pmod(order, F.lit(1 << 30)) / float(1 << 30) <= share)
-    few = part.orderBy(order, html_col).limit(SAMPLE)
+    part = usable.where(F.pmod("_order", F.lit(1 << 30)) / float(1 << 30) <= share)
+    few = part.orderBy("_order", html_col).limit(SAMPLE)
     return train([r[0] for r in few.select(html_col).collect()])
 
 

@@ -3,6 +3,7 @@ on empty tables, against the long way."""
 
 import hashlib
 import itertools
+import time
 
 import brute
 import edge
@@ -267,6 +268,42 @@ def test_html(spark):
     assert html_extract.fit(pages.limit(0)) is None
 
 
+def _said(page):
+    return [b.text for b in html_extract.blocks(page)]
+
+
+def test_html_reads_broken_pages_in_linear_time():
+    """A megabyte of each kind of tag that is left open; what follows has no end either."""
+    for piece in ("<a ", "<a", '<a title="', "<a '\"", "<!x ", "<div>x", "<script/>", "</p "):
+        began = time.process_time()
+        found = _said("<p>first</p>" + piece * (1_000_000 // len(piece)))
+        assert time.process_time() - began < 10 and found[0] == "first", piece
+    assert _said("1 < 2<!x>3 \"") == ['1 < 23 "']
+    assert _said("<p>a <b c</p>") == ["a"] and _said("1 < 2 <b>and</b> <i") == ["1 < 2 and <i"]
+    assert _said("""<a title="x > y" href='>'>in</a> 'quoted' > <p class="it's">next</p>""") == ["in 'quoted' >", "next"]
+
+
+def test_html_slashes_close_only_inline_and_foreign_elements():
+    assert _said('<p>a</p><script src="a.js"/>var a=1;</script><p>b</p>') == ["a", "b"]
+    assert _said("<p>a<svg/>b</p><svg><path/><text>no</text></svg><p>c</p>") == ["ab", "c"]
+    assert _said('<p>a</p><iframe src="x"/><p>b</p>') == ["a", "b"]
+    inside, after = html_extract.blocks('<div class="box"/>in</div><a name="x"/>after')
+    assert ".box" in inside.path and ".box" not in after.path and after.linked == 0
+
+
+def test_html_labels_leave_out_what_is_nested_in_an_article():
+    page = '<article><p>m</p><aside>s</aside><div class="comments"><p>c</p></div><form>f</form><p>n</p></article><p>o</p>'
+    found = html_extract.blocks(page)
+    assert [b.text for b in found if html_extract._labelled(b.path)] == ["m", "n"]
+
+
+def test_html_learns_from_the_beginnings_of_long_pages(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "SAMPLE_CHARS", 400)
+    monkeypatch.setattr(html_extract, "EPOCHS", 1)
+    pages = [(k, f"<nav>menu</nav><article><p>{'a long enough sentence about rivers and mills. ' * 30}</p></article>") for k in range(5)]
+    assert html_extract.fit(spark.createDataFrame(pages, "page_id long, html string")) is not None
+
+
 def test_html_blocks_differ_by_all_their_words():
     """A notice and a paragraph with the same ends, length and punctuation."""
     path = ("div",)
