@@ -1,12 +1,17 @@
-"""Byte-level BPE encoding and decoding by a walk over the trie of distinct words.
-
-In an encoding, each prefix of a word ends in exactly one token, whatever follows
-later: the state of the prefix. A token may follow a state if merging the bytes of
-both on their own gives back just these two. So a word's state follows from states of
-its shorter prefixes, and words with a common prefix share them. The distinct words
-of a batch are visited in sorted order, which is the depth-first order of their trie:
-going from one word to the next keeps the states of the common prefix and computes
-the others, so each node of the trie is computed once.
+"""Byte-level BPE encoding and decoding, each distinct word of a batch once.
+
+Texts are parted into words for a whole batch at a time, by the kinds of their code
+points (letter, digit, white space, other), and the distinct words are merged side by
+side: each round joins the first pair of lowest rank of every word that has one, as the
+encoding is defined. Rounds are no more than the bytes of the longest word.
+
+Longer words go by a walk in linear time. In an encoding, each prefix of a word ends in
+exactly one token, whatever follows later: the state of the prefix. A token may follow
+a state if merging the bytes of both on their own gives back just these two. So a
+word's state follows from states of its shorter prefixes, and words with a common
+prefix share them. These words are visited in sorted order, which is the depth-first
+order of their trie: going from one word to the next keeps the states of the common
+prefix and computes the others, so each node of the trie is computed once.
 """
 
 from __future__ import annotations
@@ -19,14 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from culvert.llm.frames import slices, texts
 
-# The pattern that parts texts into words, as published with the vocabulary.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# The pattern that parts texts into words, as published with the vocabulary, is
+# 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
 
 # Code points that newer Unicode tables than those of the tokenizers library
 # hold as letters or digits, first and last of each range. To the library they are neither.
@@ -41,8 +47,13 @@ A7D2-A7D2 A7D4-A7D4 A7DD-A7DD A7E2-A7E2 A7F1-A7F1 AB6C-AB6D 107BB-107BF 10940-10
 3D000-3FC3F
 """
 
-#: Bytes of encodings that a worker keeps from one batch to the next, in each of two generations.
-KEEP = 24 << 20
+#: Bytes of texts that are encoded together.
+SLICE = 1 << 19
+#: Bytes of the longest words that are merged side by side.
+SHORT = 128
+#: Bytes of encodings of longer words that a worker keeps from one batch to the next, in
+#: each of two generations.
+KEEP = 8 << 20
 #: Bytes that an entry costs beside its key and its value.
 _ENTRY = 96
 #: Pairs of tokens of which a worker remembers whether one may follow the other, and
@@ -60,14 +71,58 @@ def _byte_marks() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
-_BLANKS = regex.compile(r"\s\s|\s\Z")
-_NEWER = regex.compile("[" + "".join("\\U{:0>8}-\\U{:0>8}".format(*r.split("-")) for r in NEWER.split()) + "]")
-#: No letter, digit or white space in any table.
-_OTHER = "\ue000"
-
-
-class _Head(str):
-    """What stands before the first blank of a text."""
+#: Kinds of code points; those of white space come last.
+_OTHER, _LETTER, _DIGIT, _SPACE, _BLANK = range(5)
+#: Stands for the rank of a pair that is never merged, beside the places of ``SHORT`` bytes.
+_NONE, _PLACE = (1 << 24) - 1, 7
+_EMPTY = np.uint64(2**64 - 1)
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """The kind of every code point in the library's Unicode tables."""
+    kinds = np.full(0x110000, _OTHER, np.uint8)
+    for lo, hi in ((0, 0xD800), (0xE000, 0x110000)):
+        points = "".join(map(chr, range(lo, hi)))
+        for kind, name in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
+            for m in regex.finditer(name, points):
+                kinds[lo + m.start() : lo + m.end()] = kind
+    for r in NEWER.split():
+        lo, hi = (int(c, 16) for c in r.split("-"))
+        kinds[lo : hi + 1] = _OTHER
+    kinds[0x20] = _BLANK
+    return kinds
+
+
+def _starts(points: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """Does the pattern begin a word at each code point? ``fresh`` is true where a text
+    begins, and behind the last."""
+    n, kind = len(points), _kinds()[points]
+    space = kind >= _SPACE
+    start = fresh[:n].copy()
+    # A blank belongs to the word behind it.
+    start[1:] |= (np.minimum(kind[1:], _SPACE) != np.minimum(kind[:-1], _SPACE)) & (kind[:-1] != _BLANK)
+    # Of white space before a word of the same text, the last stands alone or leads the word.
+    start[1:-1] |= space[1:-1] & space[:-2] & ~space[2:] & ~fresh[2:n]
+    # A short form after an apostrophe that stands alone.
+    i = np.flatnonzero(start & (points == 0x27))
+    i = i[i + 1 < n]
+    i = i[(kind[i + 1] == _LETTER) & ~fresh[i + 1]]
+    x, y = points[i + 1], points[np.minimum(i + 2, n - 1)]
+    one = np.isin(x, [ord(c) for c in "stmd"])
+    two = np.zeros(len(i), bool)
+    for a, b in ("re", "ve", "ll"):
+        two |= (x == ord(a)) & (y == ord(b))
+    two &= ~fresh[np.minimum(i + 2, n)]
+    start[i[one | two] + 1] = False
+    ends = np.concatenate([i[one] + 2, i[two] + 3])
+    start[ends[ends < n]] = True
+    return start
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    x = keys * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
 
 
 class Codec:
@@ -84,27 +139,116 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
         self.token |= {i: t.encode() for t, i in self.special.items()}
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.words = regex.compile(PATTERN)
-        #: Encodings, as 32-bit numbers, of what stands between two blanks (the blank
-        #: before it included), the latest ones and those before them.
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        #: Encodings, as 32-bit numbers, of words too long to be merged side by side, the
+        #: latest ones and those before them.
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.held = 0  # bytes of the former
         self.size = {i: len(t) for i, t in self.token.items()}
         spelled = [self.token.get(i, b"") for i in range(1 + max(self.token))]
         self.lengths = np.array([len(t) for t in spelled])
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
-        #: Beginnings of tokens by number, 0 the empty one; the longest of them that ends
-        #: a prefix is followed from byte to byte, and lists the tokens that end there.
-        self.names = [b"", *sorted({t[:k] for t in self.ids for k in range(1, len(t) + 1)})]
-        self.number = {t: k for k, t in enumerate(self.names)}
+        self.single = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int32)
+        self._fill()
         self.goto: dict[int, int] = {}
         self.endings: dict[int, tuple[tuple[int, int], ...]] = {}
         self.pairs: dict[int, bool] = {}
         self.halves = functools.cache(self._halves)
         self.edge = functools.cache(self._edge)
 
+    def _fill(self) -> None:
+        """The ranks of pairs of tokens as a table: a pair stands at its hash or, where
+        that is taken, at the next free place."""
+        pairs = [(self.ids[a] << 32 | self.ids[b], rank, self.ids[a + b]) for (a, b), rank in self.rank.items()]
+        if any(rank >= _NONE for _, rank, _ in pairs):
+            raise ValueError("too many merges")
+        keys, ranks, joined = (np.array(c, t) for c, t in zip(zip(*pairs), (np.uint64, np.int32, np.int32))) if pairs else [np.zeros(0, np.int64)] * 3
+        self.joined = np.zeros(1 + max(ranks, default=0), np.int32)
+        self.joined[ranks] = joined
+        size = 1 << (4 * len(keys)).bit_length()
+        self.keys, self.ranks = np.full(size, _EMPTY), np.full(size, _NONE, np.int32)
+        place, left = (_mixed(keys.astype(np.uint64)) & np.uint64(size - 1)).astype(np.int64), np.arange(len(keys))
+        while len(left):
+            _, first = np.unique(place[left], return_index=True)
+            took = left[first]
+            took = took[self.keys[place[took]] == _EMPTY]
+            self.keys[place[took]], self.ranks[place[took]] = keys[took], ranks[took]
+            left = left[self.keys[place[left]] != keys[left]]
+            place[left] = (place[left] + 1) & (size - 1)
+
+    def ranked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair of tokens."""
+        keys = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        last = len(self.keys) - 1
+        place = (_mixed(keys) & np.uint64(last)).astype(np.int64)
+        there, found = self.keys[place], self.ranks[place]
+        left = np.flatnonzero(there != keys)
+        found[left] = _NONE
+        left = left[there[left] != _EMPTY]
+        while len(left):
+            place[left] = (place[left] + 1) & last
+            there = self.keys[place[left]]
+            same = there == keys[left]
+            found[left[same]] = self.ranks[place[left[same]]]
+            left = left[~same & (there != _EMPTY)]
+        return found
+
+    def merge_words(self, body: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of words of 1 to ``SHORT`` bytes that lie one behind the other, and
+        the number of each word's. Every round merges, in each word, the first of its
+        pairs of lowest rank."""
+        token, left = self.single[body], np.arange(len(size))
+        if len(token) and token.min() < 0:
+            raise ValueError("the vocabulary can't encode every byte")
+        n, start = size.copy(), np.cumsum(size) - size
+        place = (np.arange(len(token)) - np.repeat(start, n)).astype(np.int32)
+        rank = np.full(len(token), _NONE, np.int32)
+        rank[:-1] = self.ranked(token[:-1], token[1:])
+        rank[start + n - 1] = _NONE
+        order = rank << _PLACE | place
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(left):
+            low = np.minimum.reduceat(order, start)
+            ready = low >= _NONE << _PLACE
+            if ready.any():
+                out = np.repeat(ready, n)
+                done.append((left[ready], n[ready], token[out]))
+                token, order, left, n, low = token[~out], order[~out], left[~ready], n[~ready], low[~ready]
+                start = np.cumsum(n) - n
+                if not len(left):
+                    break
+            i = np.flatnonzero(order == np.repeat(low, n))  # one in each word
+            token[i] = self.joined[low >> _PLACE]
+            stay = np.ones(len(token), bool)
+            stay[i + 1] = False
+            token, order = token[stay], order[stay]
+            i -= np.arange(len(i))
+            n = n - 1
+            start = np.cumsum(n) - n
+            order[i] |= _NONE << _PLACE
+            after, before = i[i < start + n - 1], i[i > start] - 1
+            both = np.concatenate([after, before])
+            order[both] = self.ranked(token[both], token[both + 1]) << _PLACE | order[both] & SHORT - 1
+        count = np.zeros(len(size), np.int64)
+        for words, n, _ in done:
+            count[words] = n
+        first = np.cumsum(count) - count
+        ids = np.empty(int(count.sum()), np.int32)
+        for words, n, tokens in done:
+            ids[np.arange(len(tokens)) + np.repeat(first[words] - (np.cumsum(n) - n), n)] = tokens
+        return ids, count
+
+    @functools.cached_property
+    def names(self) -> list[bytes]:
+        """Beginnings of tokens, the empty one first; the longest of them that ends a
+        prefix is followed from byte to byte, and lists the tokens that end there."""
+        return [b"", *sorted({t[:k] for t in self.ids for k in range(1, len(t) + 1)})]
+
+    @functools.cached_property
+    def number(self) -> dict[bytes, int]:
+        return {t: k for k, t in enumerate(self.names)}
+
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two parts that the last merge of a token's bytes joins; None if the
         merges don't lead to the token, which then never occurs in an encoding."""
@@ -201,70 +345,85 @@ class Codec:
             goto.clear()
         return out
 
-    def parted(self, text: str) -> list[str]:
-        """The words of a text without special tokens."""
-        if text.isascii() or not _NEWER.search(text):
-            return self.words.findall(text)
-        return [text[m.start() : m.end()] for m in self.words.finditer(_NEWER.sub(_OTHER, text))]
-
-    def pieces(self, text: str) -> list[str | int]:
-        """Words of a text in order, and the ids of special tokens that it spells out."""
-        if not self.split or not any(s in text for s in self.special):
-            return self.parted(text)
-        out, at = [], 0
-        for m in self.split.finditer(text):
-            out += self.parted(text[at : m.start()])
-            out.append(self.special[m.group()])
-            at = m.end()
-        return out + self.parted(text[at:])
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Token ids of each text as 32-bit numbers.
-
-        A blank between two other characters always begins a word, so what stands
-        between such blanks is encoded on its own, and once for all texts if it is
-        seen again. Texts with white space in a row are parted by the pattern alone.
-        """
+    def parted(self, body: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The first byte of each word, and of each special token spelled out, of texts
+        that lie one behind the other (offsets ``at``)."""
+        data = body.tobytes()
+        if data.isascii():
+            points, lead = body, np.arange(len(body))
+        else:
+            points = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
+            lead = np.flatnonzero((body & 0xC0) != 0x80)
+        fresh = np.zeros(len(points) + 1, bool)
+        fresh[np.searchsorted(lead, at)] = True
+        spans = []
+        if self.split and any(s.encode() in data for s in self.special):
+            for lo, hi in itertools.pairwise(at.tolist()):
+                text, first = data[lo:hi].decode(), np.searchsorted(lead, lo)
+                spans += [(first + m.start(), first + m.end()) for m in self.split.finditer(text)]
+        for a, b in spans:
+            fresh[[a, b]] = True
+        start = _starts(points, fresh)
+        for a, b in spans:
+            start[a + 1 : b] = False
+        return lead[start]
+
+    def encode_distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of distinct words, one behind the other, and the number of each word's."""
+        at, body = texts(words)
+        size = np.diff(at)
+        brief = size <= SHORT
+        special = {t.encode(): i for t, i in self.special.items()}
+        long = {k: words[k].as_py() for k in np.flatnonzero(~brief).tolist()}
+        named = {}
+        if special:
+            found = pa.compute.index_in(pa.array(list(special), words.type), words).to_pylist()
+            named = {k: np.int32(i).tobytes() for k, i in zip(found, special.values()) if k is not None}
+        brief[list(named)] = False
+        ids, count = self.merge_words(body[np.repeat(brief, size)], size[brief])
+        if len(ids) and brief.all():
+            return ids, count
+        other = named | {k: code for k, code in self.encode_long(long).items() if k not in named}
+        places = sorted(other)
+        counts = np.zeros(len(words), np.int64)
+        counts[brief] = count
+        counts[places] = [len(other[k]) // 4 for k in places]
+        whole = np.empty(int(counts.sum()), np.int32)
+        mine = np.repeat(brief, counts)
+        whole[mine] = ids
+        whole[~mine] = np.frombuffer(b"".join(other[k] for k in places), np.int32)
+        return whole, counts
+
+    def encode_long(self, words: dict[int, bytes]) -> dict[int, bytes]:
+        """Token ids of longer words as 32-bit numbers, remembered from batch to batch."""
         if self.held > KEEP:
             self.known, self.before, self.held = {}, self.known, 0
-        known, before = self.known, self.before
-        rows: list[list] = []
-        asked: set[str] = set()
-        for text in texts:
-            text = text or ""
-            if any(t in text for t in self.special) or _BLANKS.search(text) or text[:1] == " ":
-                rows.append(self.pieces(text))
-                asked.update(p for p in rows[-1] if isinstance(p, str))
-                continue
-            head, *parts = text.split(" ")
-            found: list = list(map(known.get, parts))
-            if None in found:
-                for k, f in enumerate(found):
-                    if f is None:
-                        part = parts[k]
-                        f = before.get(part)
-                        if f is None:
-                            found[k] = part
-                            asked.add(" " + part)
-                        else:
-                            found[k] = known[part] = f
-                            self.held += _cost(part, f)
-            rows.append([_Head(head), *found])
-            asked.add(head)
-        pieces = {chunk: self.parted(chunk) for chunk in asked}
-        ids = self.encode_words({p.encode() for p in set(itertools.chain.from_iterable(pieces.values()))})
-        packed = {w.decode(): np.array(i, np.int32).tobytes() for w, i in ids.items()}
-        new = {chunk: b"".join(map(packed.__getitem__, parts)) for chunk, parts in pieces.items()}
-        for chunk, code in new.items():
-            if chunk[:1] == " " and not _BLANKS.search(chunk):
-                known[part := chunk[1:]] = code
-                self.held += _cost(part, code)
-        out = []
-        for row in rows:
-            whole = row and isinstance(row[0], _Head)
-            code = [f if isinstance(f, bytes) else np.int32(f).tobytes() if isinstance(f, int) else new[f if not whole or f is row[0] else " " + f] for f in row]
-            out.append(b"".join(code))
-        return out
+        new = {w for w in words.values() if w not in self.known}
+        codes = {w: self.before[w] for w in new if w in self.before}
+        codes |= {w: np.array(i, np.int32).tobytes() for w, i in self.encode_words(new - codes.keys()).items()}
+        self.held += sum(_cost(w, code) for w, code in codes.items())
+        self.known |= codes
+        return {k: self.known[w] for k, w in words.items()}
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of a column of texts, and the offsets of each text's."""
+        at, body = texts(column)
+        if not len(body):
+            return np.zeros(0, np.int32), np.zeros(len(at), np.int64)
+        first = self.parted(body, at)
+        offsets = np.append(first, len(body)).astype(np.int64)
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
+        ids, count = self.encode_distinct(coded.dictionary)
+        word = coded.indices.to_numpy()
+        size = count[word]
+        ends = np.cumsum(size)
+        index = np.arange(ends[-1]) + np.repeat((np.cumsum(count) - count)[word] - (ends - size), size)
+        return ids[index], np.concatenate([[0], ends])[np.searchsorted(first, at)]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Token ids of each text as 32-bit numbers."""
+        ids, offsets = self.encode_column(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in itertools.pairwise(offsets.tolist())]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """Texts of lists of ids that lie one behind the other."""
@@ -276,7 +435,7 @@ class Codec:
         return [spelled[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise(borders)]
 
 
-def _cost(part: str, code: bytes) -> int:
+def _cost(part: bytes, code: bytes) -> int:
     return sys.getsizeof(part) + sys.getsizeof(code) + _ENTRY
 
 
@@ -305,12 +464,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", decoded_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(file.value)
         for whole in batches:
-            for lo, hi in slices(texts(whole.column(at))[0]):
+            for lo, hi in slices(texts(whole.column(at))[0], SLICE):
                 batch = whole.slice(lo, hi - lo)
-                rows = codec.encode(batch.column(at).to_pylist())
-                offsets = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
-                ids = np.frombuffer(b"".join(rows), np.int32)
-                found = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
+                ids, offsets = codec.encode_column(batch.column(at))
+                found = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
                 if decoded_col:
                     found.append(pa.array(codec.decode(ids, offsets), pa.string()))
                 columns = {c: batch.column(k) for k, c in enumerate(inputs)}

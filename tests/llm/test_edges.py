@@ -148,6 +148,26 @@ def test_bpe_keeps_a_bounded_number_of_bytes(monkeypatch):
         assert len(codec.known) < 400 and len(codec.before) < 400 and codec.held < 60_000
 
 
+def test_bpe_merges_short_words_side_by_side(monkeypatch):
+    """No Python loop over the bytes of words, nothing kept per word, whatever the texts."""
+    library = Tokenizer.from_file(tokenizer_path())
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        codec = bpe.Codec(f.read())
+
+    def walk(words):
+        assert not words
+        return {}
+
+    monkeypatch.setattr(codec, "encode_words", walk)
+    rng = np.random.default_rng(4)
+    pieces = [*"aeinrst'", " ", " ", "  ", "\n", " \n ", "\t", "'s", "'ll", "'re", " '", "''", "'d", "1", "!", ", ", "é", "ß", "\u60c9", "\U0001f600", "\u00a0", "the", "tion", "<|endoftext|>", "<|", "a" * 9]
+    texts = ["".join(rng.choice(pieces, rng.integers(0, 60))) for _ in range(3000)]
+    texts += ["", None, " ", "'", "'s", "x'", "x'r", "x're", "x'v e"]
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(g, np.int32).tolist() for g in codec.encode(texts)] == expected
+    assert not codec.known and not codec.pairs
+
+
 def test_bpe_decodes_in_the_same_pass(spark, docs):
     path = tokenizer_path()
     docs = docs.withColumn("decoded", F.lit("old"))
