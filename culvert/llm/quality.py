@@ -157,14 +157,13 @@ def _averaged(own: DataFrame, wider: DataFrame, on: list[str]) -> DataFrame:
 
 
 def thresholds(measures: DataFrame) -> DataFrame:
-    """Bounds per ``_lang`` and ``_source`` of the rows that pass the base rules, one
-    column each; the buckets of accepted values lie between them, ends included."""
+    """Bounds per ``_lang`` and ``_source`` of the rows that pass the base rules, two
+    columns for each measure; the buckets of accepted values lie between them, ends
+    included. Of measures that count only if unusually high, ``low`` is not applied."""
     sketch = sketches(measures)
     language = _averaged(_outer(sketch, "_lang"), _outer(sketch), ["measure"])
     bounds = _averaged(_outer(sketch, "_lang", "_source"), language, ["_lang", "measure"])
-    wide = []
-    for m, both in MEASURES.items():
-        wide += [F.max(F.when(F.col("measure") == m, F.col(b))).alias(f"{b}_{m}") for b in (("low", "high") if both else ("high",))]
+    wide = [F.max(F.when(F.col("measure") == m, F.col(b))).alias(f"{b}_{m}") for m in MEASURES for b in ("low", "high")]
     return bounds.groupBy("_lang", "_source").agg(*wide)
 
 
