@@ -139,38 +139,32 @@ def _hits(docs: DataFrame, wanted: np.ndarray, short: list[int]) -> DataFrame:
     return docs.mapInArrow(run, f"{ID_KEY} long, {TEXT_KEY} long, seed long, at long, begin long, near array<long>")
 
 
-def _overlap(near: np.ndarray, hit: int, item: np.ndarray, at: int) -> tuple[int, int, int]:
-    """Words that agree in the best window, its length, and its begin in ``near``."""
-    length = min(STRETCH, len(item))
-    lo, hi = max(0, hit - at), min(len(near), len(item) + hit - at)
-    if hi - lo < length:
-        return 0, length, 0
-    same = np.concatenate([[0], np.cumsum(near[lo:hi] == item[lo - hit + at : hi - hit + at])])
-    sums = same[length:] - same[:-length]
-    best = int(np.argmax(sums))
-    return int(sums[best]), length, lo + best
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        near, words = batch.column("near"), batch.column("words")
-        flat = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (near, words)]
-        hit = batch.column("at").to_numpy() - batch.column("begin").to_numpy()
-        place, begin = batch.column("item_at").to_numpy(), batch.column("begin").to_numpy()
-        keep, agree, size, start = [], [], [], []
-        for r in range(batch.num_rows):
-            a, b = (values[o[r] : o[r + 1]] for o, values in flat)
-            same, length, first = _overlap(a, hit[r], b, place[r])
-            if same >= length - _TOLERATED[length]:
-                keep.append(r)
-                agree.append(same)
-                size.append(length)
-                start.append(int(begin[r]) + first)
-        rows = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(n).take(rows) for n in (ID_KEY, TEXT_KEY, "item_id")), *(pa.array(x, pa.int64()) for x in (agree, size, start))],
-            names=[ID_KEY, TEXT_KEY, "item_id", "n_agree", "n_window", "word_at"],
-        )
+def _verified(rows: DataFrame) -> DataFrame:
+    """``(_row_id, _row_text, item_id, n_agree, n_window, word_at)``: the best window of each
+    hit, the first of equal ones, if it agrees in all but the tolerated words. Expressions:
+    a second Python step would double the Python workers of the tasks that find the hits."""
+    item, text = F.size("words"), F.size("near")
+    shift = (F.col("at") - F.col("begin") - F.col("item_at")).cast("int").alias("shift")  # the item's first word in ``near``
+    rows = rows.select("*", shift, F.least(F.lit(STRETCH), item).alias("length"))
+    first = F.greatest(F.lit(0), F.col("shift")).alias("first")
+    rows = rows.select("*", first, (F.least(text, item + F.col("shift")) - first).alias("n")).where("n >= length")
+    n, length = F.greatest("n", "length"), F.col("length")
+    pairs = (F.slice("near", F.col("first") + 1, n), F.slice("words", F.col("first") - F.col("shift") + 1, n))
+    same = F.zip_with(*pairs, lambda a, b: (a == b).cast("long"))
+    # A bit per word, the first one highest; ``near`` has 2 * STRETCH - 2 + SPAN words at most.
+    bits = F.aggregate(same, F.lit(0).cast("long"), lambda bits, one: bits * 2 + one)
+    rows = rows.select("*", bits.alias("bits"))
+    whole = (F.call_function("shiftleft", F.lit(1).cast("long"), length) - 1).alias("whole")
+    counts = F.transform(
+        F.sequence(F.lit(0), n - length),
+        lambda k: F.bit_count(F.call_function("shiftright", F.col("bits"), n - length - k).bitwiseAND(whole)),
+    )
+    rows = rows.select("*", counts.alias("counts")).select("*", F.array_max("counts").alias("agree"))
+    most = F.element_at(F.array(*[F.lit(k) for _, k in sorted(_TOLERATED.items())]), length)
+    return rows.where(F.col("agree") >= length - most).select(
+        ID_KEY, TEXT_KEY, "item_id", F.col("agree").cast("long").alias("n_agree"), length.cast("long").alias("n_window"),
+        (F.col("begin") + F.col("first") + F.array_position("counts", F.col("agree")) - 1).alias("word_at"),
+    )
 
 
 def leaks(
@@ -199,9 +193,7 @@ def leaks(
         looked = part.select("seed", "item_at", F.col(ID_KEY).alias("item_key"), F.col(TEXT_KEY).alias("item_text"))
         known = items.select("item_id", F.col(ID_KEY).alias("item_key"), F.col(TEXT_KEY).alias("item_text"), "words")
         joined = hits.join(F.broadcast(looked), "seed").join(known, ["item_key", "item_text"])  # SEEDS rows at most
-        one = joined.select(ID_KEY, TEXT_KEY, "item_id", "at", "begin", "near", "item_at", "words").mapInArrow(
-            _verified, f"{ID_KEY} long, {TEXT_KEY} long, item_id long, n_agree long, n_window long, word_at long"
-        )
+        one = _verified(joined.select(ID_KEY, TEXT_KEY, "item_id", "at", "begin", "near", "item_at", "words"))
         found = one if found is None else found.unionByName(one)
     best = F.max_by(F.struct("n_agree", "n_window", "word_at"), F.struct("n_agree", -F.col("word_at"))).alias("best")
     return found.groupBy(ID_KEY, TEXT_KEY, "item_id").agg(best).select(

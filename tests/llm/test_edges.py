@@ -246,6 +246,37 @@ def test_decontaminate(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == decontaminate.leaks(empty(spark), bench).count() == 0
 
 
+def test_hits_are_verified_along_their_alignment(spark):
+    def best(near, hit, item, at):
+        length = min(decontaminate.STRETCH, len(item))
+        lo, hi = max(0, hit - at), min(len(near), len(item) + hit - at)
+        same = [near[k] == item[k - hit + at] for k in range(lo, hi)]
+        sums = [sum(same[k : k + length]) for k in range(len(same) - length + 1)]
+        if not sums or max(sums) < length - decontaminate._TOLERATED[length]:
+            return None
+        return max(sums), length, lo + sums.index(max(sums))
+
+    rng, rows, expected = np.random.default_rng(3), [], []
+    for k in range(3000):
+        item = rng.integers(-(2**63), 2**63 - 1, rng.integers(1, 40)).tolist()
+        begin, at, size = int(rng.integers(50)), int(rng.integers(len(item))), int(rng.integers(1, 34))
+        hit = int(rng.integers(size))
+        near = [item[j - hit + at] if 0 <= j - hit + at < len(item) and rng.random() < 0.9 else 7 for j in range(size)]
+        rows.append((k, 0, k % 5, begin + hit, begin, near, at, item))
+        if found := best(near, hit, item, at):
+            expected.append((k, 0, k % 5, *found[:2], begin + found[2]))
+    schema = "_row_id long, _row_text long, item_id long, at long, begin long, near array<long>, item_at int, words array<long>"
+    got = sorted(map(tuple, decontaminate._verified(spark.createDataFrame(rows, schema)).collect()))
+    assert got == expected and 100 < len(got) < 2900
+
+
+def test_one_python_step_finds_leaks(spark, docs):
+    """Each Python step of a stage has a worker per core beside the executor."""
+    bench = spark.createDataFrame([(0, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string")
+    plan = decontaminate.leaks(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_passes_give_the_same(spark, monkeypatch):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
