@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from culvert.llm.frames import ID_KEY, NO_ID, TEXT_KEY, keyed, packed, slices, stored, texts, unpacked
@@ -153,17 +153,23 @@ def _verified(rows: DataFrame) -> DataFrame:
     same = F.zip_with(*pairs, lambda a, b: (a == b).cast("long"))
     # A bit per word, the first one highest; ``near`` has 2 * STRETCH - 2 + SPAN words at most.
     bits = F.aggregate(same, F.lit(0).cast("long"), lambda bits, one: bits * 2 + one)
-    rows = rows.select("*", bits.alias("bits"))
-    whole = (F.call_function("shiftleft", F.lit(1).cast("long"), length) - 1).alias("whole")
-    counts = F.transform(
-        F.sequence(F.lit(0), n - length),
-        lambda k: F.bit_count(F.call_function("shiftright", F.col("bits"), n - length - k).bitwiseAND(whole)),
-    )
-    rows = rows.select("*", counts.alias("counts")).select("*", F.array_max("counts").alias("agree"))
-    most = F.element_at(F.array(*[F.lit(k) for _, k in sorted(_TOLERATED.items())]), length)
-    return rows.where(F.col("agree") >= length - most).select(
-        ID_KEY, TEXT_KEY, "item_id", F.col("agree").cast("long").alias("n_agree"), length.cast("long").alias("n_window"),
-        (F.col("begin") + F.col("first") + F.array_position("counts", F.col("agree")) - 1).alias("word_at"),
+    whole = F.call_function("shiftleft", F.lit(1).cast("long"), length) - 1
+    starts = F.sequence(F.lit(0), n - length)
+
+    def agreeing(bits: Column) -> Column:
+        return F.transform(starts, lambda k: F.bit_count(F.call_function("shiftright", bits, n - length - k).bitwiseAND(whole)))
+
+    def best(counts: Column) -> Column:
+        most = F.array_max(counts)
+        return F.struct(most.alias("agree"), F.array_position(counts, most).alias("place"))
+
+    # In arrays of one and exploded: a filter on it would be moved down and compute it anew.
+    found = F.transform(F.transform(F.array(bits), agreeing), best)
+    allowed = F.element_at(F.array(*[F.lit(k) for _, k in sorted(_TOLERATED.items())]), length)
+    kept = F.explode(F.filter(found, lambda b: b["agree"] >= length - allowed)).alias("best")
+    return rows.select(ID_KEY, TEXT_KEY, "item_id", "begin", "first", "length", kept).select(
+        ID_KEY, TEXT_KEY, "item_id", F.col("best.agree").cast("long").alias("n_agree"), length.cast("long").alias("n_window"),
+        (F.col("begin") + F.col("first") + F.col("best.place") - 1).alias("word_at"),
     )
 
 
