@@ -37,6 +37,9 @@ TRIGGER, MOST = 16, 64
 BITS = 1 << 26
 #: Bytes of chunks that are counted together in a task.
 READ = 8 << 20
+#: Bytes of counts by text that a task adds up before it hands them on, and the tasks per
+#: core that count so: each hands on a row for every phrase it has met.
+HELD, TASKS = 32 << 20, 3
 
 _WORD, _BLANK, _BREAK = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -258,6 +261,39 @@ def _counted(p: Parsed, place: np.ndarray, phrase: pa.Array, length: int, total:
     return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), size, pa.array(total)], ["lang", "phrase", "words", "n"])
 
 
+def _added(parts: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """The counts of a task with those of equal phrases added up, ``most`` bytes at a time."""
+    held, fresh, rows = [], [], 0
+
+    def added() -> list[pa.RecordBatch]:
+        whole = pa.Table.from_batches([*held, *fresh]).group_by(["lang", "phrase", "words"], use_threads=False).aggregate([("n", "sum")])
+        return whole.select(["lang", "phrase", "words", "n_sum"]).rename_columns(["lang", "phrase", "words", "n"]).combine_chunks().to_batches()
+
+    for part in parts:
+        fresh.append(part)
+        rows += part.num_rows
+        if rows >= sum(b.num_rows for b in held) or sum(b.nbytes for b in fresh) >= most:
+            held, fresh, rows = added(), [], 0
+            if sum(b.nbytes for b in held) >= most:
+                yield from held
+                held = []
+    if fresh:
+        held = added()
+    yield from held
+
+
+def _partial(dictionary: DataFrame, pick: Callable[[Parsed], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``(lang, phrase, words, n)``: the counts by text that ``pick`` finds, to be summed.
+    Their number is that of the phrases times that of the tasks. A task reads its part a
+    few MB at a time and holds counts of a fixed size, so it may read any number of files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _added(part for parsed in _read(batches) for part in pick(parsed))
+
+    tasks = TASKS * dictionary.sparkSession.sparkContext.defaultParallelism
+    return dictionary.coalesce(tasks).mapInArrow(run, "lang string, phrase string, words int, n long")
+
+
 def _mapped(often: DataFrame, size: int) -> np.ndarray:
     """Bit map of the places (column ``h``)."""
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)))
@@ -302,12 +338,7 @@ def phrase_counts(dictionary: DataFrame, least: int = 100, bits: int = BITS) ->
     paired = share(_frequent(dictionary, lambda p: _pair_hashes(p, frequent.value), least, bits))
 
     def counted(pick: Callable[[Parsed], Iterator[pa.RecordBatch]]) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for parsed in _read(batches):
-                yield from pick(parsed)
-
-        found = dictionary.mapInArrow(run, "lang string, phrase string, words int, n long")
-        return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        return _partial(dictionary, pick).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
 
     longer = share(_frequent(dictionary, lambda p: _long_hashes(p, frequent.value, paired.value), least, bits))
     found = stored(counted(lambda p: _phrases(p, frequent.value, paired.value, longer.value)), "phrases")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import edge
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,6 +203,36 @@ def test_phrase_chunks_share_passages_and_count_overlaps_once(spark):
     assert phrases.collocations(edge.documents(spark, [])).collect() == []
 
 
+def test_partial_counts_are_added_up_in_the_task():
+    def part(*rows):
+        lang, phrase, words, n = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(lang), pa.array(phrase), pa.array(words, pa.int32()), pa.array(n, pa.int64())], ["lang", "phrase", "words", "n"])
+
+    rng = random.Random(5)
+    parts = [part(*[(rng.choice("xy"), f"{rng.randrange(30)} b", 2, k) for k in range(rng.randrange(1, 90))]) for _ in range(40)]
+    expected = Counter()
+    for p in parts:
+        for r in p.to_pylist():
+            expected[r["lang"], r["phrase"], r["words"]] += r["n"]
+    for most in (1, 1000, 1 << 20):
+        got = [r for b in phrases._added(iter(parts), most) for r in b.to_pylist()]
+        total = Counter()
+        for r in got:
+            total[r["lang"], r["phrase"], r["words"]] += r["n"]
+        assert total == expected and (most < 1 << 20 or len(got) == len(expected))
+    assert list(phrases._added(iter([]))) == []
+
+
+def test_partial_counts_follow_the_tasks_not_the_files(spark):
+    tasks = phrases.TASKS * spark.sparkContext.defaultParallelism
+    rows = [("en", f"one two three four five{k}", 5, 1) for k in range(tasks * 4)]
+    dictionary = spark.createDataFrame(rows, "lang string, chunk string, own int, freq long").repartition(tasks * 4)
+    every = np.full(1, -1, np.int64).view(np.uint64)
+    found = phrases._partial(dictionary, lambda p: phrases._words(p, every)).groupBy("phrase").agg(F.count("*").alias("parts"), F.sum("n").alias("n"))
+    got = {r.phrase: r for r in found.collect()}
+    assert len(got) == 4 + len(rows) and got["one"].n == len(rows) and got["one"].parts <= tasks
+
+
 def test_scores_beyond_64_bits(spark):
     counts = spark.createDataFrame([("en", "a", 1, 4 * 10**12), ("en", "b", 1, 3 * 10**12), ("en", "a b", 2, 10**12 + 7)], "lang string, phrase string, words int, f long")
     totals = spark.createDataFrame([("en", 9 * 10**14 + 1)], "lang string, n long")
